@@ -1,0 +1,77 @@
+"""Retail order lines derived from order, customer, part and nation tables.
+
+Stands in for an order sheet of any size. The cells are untidy on purpose: odd blanks and
+case, half cents, missing keys, dates and descriptions, and copies of rows, some of them with
+another price.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.schemas import ORDER_COLUMNS
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    home = (F.col("c_nationkey") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)) % 25
+    orders = (
+        table("orders")
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table("nation"), F.col("n_nationkey") == home)
+        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+    )
+    lines = (
+        table("lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    )
+
+    text = lambda col: F.col(col).cast("string")
+    returned = F.col("l_returnflag") == "R"
+    clock = F.concat_ws(
+        ":",
+        F.lpad((F.col("o_orderkey") % 10 + 8).cast("string"), 2, "0"),
+        F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"),
+        F.lit("00"),
+    )
+    first = {
+        "invoice_no": F.concat(F.when(returned, "c").otherwise(""), text("l_orderkey")),
+        "stock_code": F.when(
+            F.col("l_partkey") % 401 != 0, F.concat(F.lit(" p"), text("l_partkey"), F.lit("a"))
+        ),
+        "description": F.when(
+            (F.col("l_partkey") % 7 == 0) & (F.col("l_linenumber") % 2 == 0), F.lit(None)
+        )
+        .when(F.col("l_linenumber") % 3 == 0, F.concat("p_name", F.lit(" "), F.lower("p_type")))
+        .otherwise(F.concat(F.lit("  "), "p_name", F.lit(" "))),
+        "quantity": (F.col("l_quantity") * F.when(returned, -1).otherwise(1))
+        .cast("int")
+        .cast("string"),
+        "invoice_date": F.when(
+            F.col("l_orderkey") % 503 != 0,
+            F.concat(F.substring(text("o_orderdate"), 1, 10), F.lit(" "), clock),
+        ),
+        "unit_price": F.concat(
+            F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), F.lit("5")
+        ),
+        "customer_id": F.when(F.col("l_orderkey") % 11 != 0, text("o_custkey")),
+        "country": F.lower("n_name"),
+    }
+    lines = lines.select("l_partkey", *(col.alias(name) for name, col in first.items()))
+
+    copy = {
+        "invoice_no": F.concat(F.lit(" "), F.upper("invoice_no")),
+        "stock_code": F.concat(F.upper("stock_code"), F.lit(" ")),
+        "description": F.upper("description"),
+        "unit_price": F.when(F.col("l_partkey") % 26 == 0, "1.005").otherwise(F.col("unit_price")),
+        "country": F.concat(F.lit(" "), "country"),
+    }
+    row = F.struct(*ORDER_COLUMNS)
+    copied = F.struct(*(copy.get(c, F.col(c)).alias(c) for c in ORDER_COLUMNS))
+    # Rows and copies in one pass over the joins instead of a union of two.
+    variants = F.when(F.col("l_partkey") % 13 == 0, F.array(row, copied)).otherwise(F.array(row))
+    return lines.select(F.inline(variants))
