@@ -11,6 +11,7 @@ from tillroll.operators.cleanse import (
 from tillroll.operators.keys import assign_dense_key
 from tillroll.operators.lookup import lookup
 from tillroll.operators.quality import (
+    distinct_dense_keys,
     fk_violations,
     length_violations,
     null_violations,
@@ -26,6 +27,7 @@ __all__ = [
     "cast_strict",
     "conform",
     "dedupe",
+    "distinct_dense_keys",
     "fk_violations",
     "length_violations",
     "lookup",

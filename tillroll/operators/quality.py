@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.cleanse import required_keys
 from tillroll.schemas import Table
 
 
@@ -26,12 +27,22 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter((F.col("n_rows") > 1) | _any(F.col(k).isNull() for k in keys))
 
 
+def distinct_dense_keys(df: DataFrame, key: str) -> DataFrame:
+    """Exact number of distinct values of a key that is numbered without large gaps.
+
+    Values are marked in bitmaps, so the shuffle carries about one bit per row.
+    """
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(key))
+    blocks = df.groupBy(F.bitmap_bucket_number(key).alias("block")).agg(bits.alias("bits"))
+    return blocks.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n_distinct"))
+
+
 def fk_violations(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Child rows whose reference (child column -> parent column) has no parent.
 
     As in SQL, a reference with a missing part is not checked.
     """
-    wanted = child.dropna(subset=list(on))
+    wanted = required_keys(child, on)
     names = {parent_col: f"_parent_{i}" for i, parent_col in enumerate(on.values())}
     keys = parent.select(*(F.col(c).alias(n) for c, n in names.items()))
     matched = [F.col(c) == F.col(names[p]) for c, p in on.items()]

@@ -44,7 +44,7 @@ def run_stage(
     try:
         row_count = warehouse.write_snapshot(table, build(), batch.batch_id)
         if verify_keys:
-            warehouse.check_keys(table, batch.batch_id)
+            warehouse.check_keys(table, batch.batch_id, row_count)
         warehouse.publish(table, stage, row_count)
     except Exception as error:
         warehouse.log.finish(stage, FAILED, error_message=str(error))

@@ -77,6 +77,7 @@ class Table:
     columns: tuple[Column, ...]
     primary_key: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
+    dense_key: bool = False  # the primary key is one column numbered 1..n
 
     @property
     def full_name(self) -> str:
@@ -157,6 +158,7 @@ DIM_DATE = Table(
         INGESTION_TS,
     ),
     primary_key=("invoice_date_id",),
+    dense_key=True,
 )
 FACT_SALES = Table(
     "business",
@@ -174,6 +176,7 @@ FACT_SALES = Table(
         Column("ingestion_ts", "timestamp_ntz", required=True),
     ),
     primary_key=("fact_id",),
+    dense_key=True,
     foreign_keys=(
         ForeignKey("stock_code", "dim_product"),
         ForeignKey("customer_id", "dim_customer"),

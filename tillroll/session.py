@@ -18,20 +18,25 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
-    """Settings for an input of ``input_bytes``.
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for an input of ``input_bytes`` on a cluster with ``cores`` task slots.
 
-    Shuffles start with enough partitions to hold the whole input at ``partition_bytes``
-    each; adaptive execution merges the small ones, so a generous start costs little. A side
-    is broadcast only below the size stated here.
+    Scans and shuffles get 256 MiB per task until that would mean more tasks than a driver
+    keeps track of comfortably; beyond, tasks grow and sorts spill. Adaptive execution merges
+    small shuffle partitions, so starting with many costs little.
     """
-    shuffle_partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    split_bytes = max(256 * MIB, input_bytes // 100_000)
+    shuffle_partitions = min(max(2 * cores, input_bytes // (256 * MIB)), 40_000)
     return {
         **BASE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        # A table is broadcast only below this size on disk.
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * MIB),
+        # Beyond 2000 partitions only blocks above this size are reported one by one; it has
+        # to be below what a hot key leaves per scan task, or its skew goes unnoticed.
+        "spark.shuffle.accurateBlockThreshold": str(16 * MIB),
         "spark.sql.parquet.compression.codec": "zstd",
     }
 
