@@ -193,9 +193,9 @@ def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     valid, scratch = _stored_valid(spark, folder)
     return plans.build_fact(
         valid,
-        plans.build_dim_date(valid, scratch),
-        plans.build_dim_product(valid),
-        plans.build_dim_customer(valid),
+        scratch.cut(plans.build_dim_date(valid, scratch), "dim_date"),
+        scratch.cut(plans.build_dim_product(valid), "dim_product"),
+        scratch.cut(plans.build_dim_customer(valid), "dim_customer"),
         scratch,
     )
 

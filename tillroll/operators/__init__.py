@@ -9,7 +9,7 @@ from tillroll.operators.cleanse import (
     standardize_text,
 )
 from tillroll.operators.keys import assign_dense_key
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import known_only, lookup
 from tillroll.operators.quality import (
     distinct_dense_keys,
     fk_violations,
@@ -30,6 +30,7 @@ __all__ = [
     "distinct_dense_keys",
     "fk_violations",
     "length_violations",
+    "known_only",
     "lookup",
     "normalize_nulls",
     "null_violations",

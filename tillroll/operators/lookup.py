@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from tillroll.operators.quality import fk_violations
+
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, take: Iterable[str] = ()) -> DataFrame:
     """Inner join on one key, adding the columns ``take`` of the dimension.
@@ -15,3 +17,25 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, take: Iterable[str] =
     adaptive execution splits a key that holds much of the input.
     """
     return df.join(dimension.select(key, *take), key)
+
+
+def known_only(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in the dimension; nothing is taken from it.
+
+    A dimension below Spark's broadcast limit is joined. A larger one is compared with the
+    distinct keys first, which are few beside the rows: usually all are known, and the rows
+    need no shuffle.
+    """
+    keys = dimension.select(key)
+    if not fits_broadcast(keys):
+        unknown = fk_violations(df.select(key).distinct(), keys, {key: key})
+        if unknown.isEmpty():
+            return df.filter(df[key].isNotNull())
+    return df.join(keys, key, "left_semi")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate is below its own limit for broadcasts."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import return_flag, total_amount
-from tillroll.operators import assign_dense_key, lookup
+from tillroll.operators import assign_dense_key, known_only, lookup
 from tillroll.schemas import DEDUPE_KEYS
 from tillroll.scratch import Scratch
 
@@ -17,11 +17,13 @@ def lookup_date_key(lines: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def lookup_product(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
-    return lookup(lines, dim_product, "stock_code")
+    """Lines of known products; the code itself is the key."""
+    return known_only(lines, dim_product, "stock_code")
 
 
 def lookup_customer(lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    return lookup(lines, dim_customer, "customer_id")
+    """Lines of known customers; the number itself is the key."""
+    return known_only(lines, dim_customer, "customer_id")
 
 
 def build_fact(
@@ -31,21 +33,18 @@ def build_fact(
     dim_customer: DataFrame,
     scratch: Scratch,
 ) -> DataFrame:
-    """One row per valid line with a time, numbered in the order of the duplicate keys.
-
-    The lines are numbered before the lookups, so that finding the key ranges costs a scan
-    and not the joins. The lookups drop no line, and the numbers stay dense: products and
-    customers come from the same lines, and lines without a time are left out at the start.
-    """
+    """One row per valid line that all dimensions know, numbered in the order of the
+    duplicate keys. Give stored tables: each is read more than once."""
     lines = valid.select(
         "invoice_no", "stock_code", "invoice_date", "quantity", "customer_id", "unit_price"
     ).filter(F.col("invoice_date").isNotNull())
+    # The date comes last: it is the one join that may have to shuffle the lines.
+    lines = lookup_product(lines, dim_product)
+    lines = lookup_customer(lines, dim_customer)
+    lines = lookup_date_key(lines, dim_date)
     order = [F.asc_nulls_last(c) for c in DEDUPE_KEYS]
     numbered = assign_dense_key(lines, order, "fact_id", scratch)
-    keyed = lookup_date_key(numbered, dim_date)
-    keyed = lookup_product(keyed, dim_product)
-    keyed = lookup_customer(keyed, dim_customer)
-    return keyed.select(
+    return numbered.select(
         "fact_id",
         "invoice_no",
         "stock_code",

@@ -49,6 +49,7 @@ def local_session(cores: int | str = "*", app_name: str = "tillroll", **conf: st
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**BASE_CONF, **conf}.items():
         builder = builder.config(key, value)
