@@ -16,7 +16,6 @@ from tillroll.plans.staging import build_clean, build_raw, build_valid
 from tillroll.schemas import Table
 from tillroll.scratch import Scratch
 from tillroll.session import require_strict_casts
-from tillroll.sources.audit import FAILED
 from tillroll.sources.landing import read_landing
 from tillroll.sources.warehouse import Warehouse
 
@@ -47,7 +46,7 @@ def run_stage(
             warehouse.check_keys(table, batch.batch_id, row_count)
         warehouse.publish(table, stage, row_count)
     except Exception as error:
-        warehouse.log.finish(stage, FAILED, error_message=str(error))
+        warehouse.fail(stage, error)
         raise
     batch.row_counts[table.name] = row_count
     return warehouse.read(table, batch.batch_id)
