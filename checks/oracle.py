@@ -56,22 +56,16 @@ _PARTS = {
                upper(trim(country)) AS country
         FROM raw"""),
     "valid": (("clean",), f"""
-        SELECT {_COLUMNS} FROM (
-            SELECT *, row_number() OVER (
-                PARTITION BY invoice_no, stock_code, invoice_date, quantity, customer_id
-                ORDER BY description NULLS LAST, unit_price NULLS LAST, country NULLS LAST) AS copy
-            FROM clean
-            WHERE customer_id IS NOT NULL AND invoice_no IS NOT NULL AND stock_code IS NOT NULL)
-        WHERE copy = 1"""),
+        SELECT DISTINCT ON (invoice_no, stock_code, invoice_date, quantity, customer_id) {_COLUMNS}
+        FROM clean
+        WHERE NOT (customer_id IS NULL OR invoice_no IS NULL OR stock_code IS NULL)
+        ORDER BY {_KEY_ORDER}, description NULLS LAST, unit_price NULLS LAST, country NULLS LAST"""),
     "country_counts": (("valid",), """
         SELECT customer_id, country, CAST(count(*) AS BIGINT) AS orders_count
         FROM valid GROUP BY customer_id, country"""),
     "main_country": (("country_counts",), """
-        SELECT customer_id, country FROM (
-            SELECT *, row_number() OVER (PARTITION BY customer_id
-                ORDER BY orders_count DESC, country NULLS LAST) AS place
-            FROM country_counts)
-        WHERE place = 1"""),
+        SELECT customer_id, first(country ORDER BY orders_count DESC, country NULLS LAST) AS country
+        FROM country_counts GROUP BY customer_id"""),
     "span": (("valid",), """
         SELECT customer_id, min(invoice_date) AS first_invoice, max(invoice_date) AS last_invoice
         FROM valid GROUP BY customer_id"""),
@@ -82,11 +76,8 @@ _PARTS = {
         SELECT stock_code, description, CAST(count(*) AS BIGINT) AS cnt
         FROM valid GROUP BY stock_code, description"""),
     "dim_product": (("description_counts",), """
-        SELECT stock_code, description FROM (
-            SELECT *, row_number() OVER (PARTITION BY stock_code
-                ORDER BY cnt DESC, description NULLS LAST) AS place
-            FROM description_counts)
-        WHERE place = 1"""),
+        SELECT stock_code, first(description ORDER BY cnt DESC, description NULLS LAST) AS description
+        FROM description_counts GROUP BY stock_code"""),
     "dates": (("valid",), """
         SELECT DISTINCT invoice_date,
                CAST(extract(day FROM invoice_date) AS INT) AS day,
@@ -98,18 +89,14 @@ _PARTS = {
         SELECT CAST(row_number() OVER (ORDER BY invoice_date NULLS LAST) AS INT) AS invoice_date_id,
                invoice_date, day, month, year, weekday
         FROM dates"""),
-    "fact_sales": (("dim_date", "dim_product", "dim_customer"), """
-        SELECT CAST(row_number() OVER (
-                   ORDER BY v.invoice_no, v.stock_code, v.invoice_date,
-                            v.quantity NULLS LAST, v.customer_id) AS BIGINT) AS fact_id,
-               v.invoice_no, p.stock_code, c.customer_id, d.invoice_date_id, v.quantity,
-               v.unit_price,
-               CAST(v.quantity * v.unit_price AS DECIMAL(10,2)) AS total_amount,
-               CASE WHEN v.invoice_no LIKE 'C%' THEN true ELSE false END AS return_flag
-        FROM valid v
-        JOIN dim_date d ON v.invoice_date = d.invoice_date
-        JOIN dim_product p ON v.stock_code = p.stock_code
-        JOIN dim_customer c ON v.customer_id = c.customer_id"""),
+    "fact_sales": (("dim_date", "dim_product", "dim_customer"), f"""
+        SELECT CAST(row_number() OVER (ORDER BY {_KEY_ORDER}) AS BIGINT) AS fact_id,
+               invoice_no, stock_code, customer_id, invoice_date_id, quantity, unit_price,
+               CAST(quantity * unit_price AS DECIMAL(10,2)) AS total_amount,
+               left(invoice_no, 1) = 'C' AS return_flag
+        FROM valid JOIN dim_date USING (invoice_date)
+        WHERE stock_code IN (SELECT stock_code FROM dim_product)
+          AND customer_id IN (SELECT customer_id FROM dim_customer)"""),
     "load_events": ((), """
         SELECT event_id AS seq,
                CASE event_id % 3 WHEN 0 THEN 'raw' WHEN 1 THEN 'staging' ELSE 'business' END AS layer,
