@@ -32,7 +32,7 @@ _CELLS = {
                            ELSE concat('  ', p_name, ' ') END""",
     "quantity": "string(int(if(l_returnflag = 'R', -l_quantity, l_quantity)))",
     "invoice_date": """if(l_orderkey % 503 = 0, NULL,
-                          concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' ',
+                          concat(date(o_orderdate), ' ',
                                  lpad(string(o_orderkey % 10 + 8), 2, '0'), ':',
                                  lpad(string(o_orderkey % 60), 2, '0'), ':00'))""",
     "unit_price": "concat(cast(l_extendedprice AS decimal(12,2)), '5')",
