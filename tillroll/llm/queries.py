@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.decontaminate import decontamination_query
 from tillroll.llm.language import language_query
+from tillroll.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
+from tillroll.llm.mixing import mixing_query
+from tillroll.llm.near_dup import near_dup_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dup": near_dup_query,
+    "op3_decontamination": decontamination_query,
+    "op4_mixing": mixing_query,
+    "op6_line_dedup": line_dedup_query,
     "op9_language_id": language_query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": LINE_DEDUP_SQL,
+}
