@@ -46,7 +46,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: the neighbours below a node, and itself, go to the least of them.
-        large = scratch.cut(large.filter("u <> v").distinct(), "large")
+        large = large.filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()

@@ -32,12 +32,14 @@ TREES = 18  # all of them
 NODE_CLASSES = 400  # a node up to this size is compared exhaustively
 DEPTH = 3  # levels below which a node that is still large is compared in blocks
 PIECE_BYTES = 1 << 20
+PAIRS = 300_000  # pairs of sketches compared at once
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15 | 1, np.uint64), dtype=np.uint64)
-_MASKS = np.random.default_rng(20).integers(0, 2**63, TOKENS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
+_FACTORS = (np.random.default_rng(20).integers(0, 2**31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 
+CANDIDATE = "tree int, node long, class binary, label binary, other binary"
 DESCRIBED = T.StructType(
     [
         T.StructField("class", T.BinaryType()),
@@ -97,11 +99,17 @@ def shingles(text: bytes | None, size: int) -> np.ndarray:
 
 
 def _minwise(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), 4096):
-        part = (hashes[None, start : start + 4096] ^ _MASKS) * np.uint64(0xD6E8FEB86659FD93)
-        least = np.minimum(least, part.min(1))
-    return least
+    """For each factor, the hash of the shingle that it makes least (the first, if tied)."""
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(TOKENS, np.iinfo(np.uint32).max, np.uint32)
+    tokens = np.full(TOKENS, hashes[0], np.uint64)
+    for start in range(0, len(hashes), 8192):
+        part = high[None, start : start + 8192] * _FACTORS
+        at = part.argmin(1)
+        value = part[np.arange(TOKENS), at]
+        tokens = np.where(value < least, hashes[start + at], tokens)
+        least = np.minimum(least, value)
+    return tokens
 
 
 def _describe(text: bytes | None, size: int) -> tuple:
@@ -110,7 +118,7 @@ def _describe(text: bytes | None, size: int) -> tuple:
         return None, 0, None, None
     name = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
     tokens = _minwise(found)
-    return name, len(found), tokens.view(np.int64), (tokens >> np.uint64(48)).astype("<u2").tobytes()
+    return name, len(found), tokens.view(np.int64), tokens.astype(np.uint16).tobytes()
 
 
 def _described(docs: DataFrame, doc_id: str, size: int) -> DataFrame:
@@ -130,20 +138,20 @@ def _described(docs: DataFrame, doc_id: str, size: int) -> DataFrame:
 # -- nodes -----------------------------------------------------------------------------------
 
 
-def _groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Runs of rows with one key; input is sorted by it, and batches may end anywhere."""
+def whole_groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches that hold whole groups of one key, with the places where groups start, and their
+    length last; input is sorted by the key, and its batches may end anywhere."""
     rest: pd.DataFrame | None = None
     for frame in frames:
         if rest is not None:
             frame = pd.concat([rest, frame], ignore_index=True)
         keys = frame[key].to_numpy()
-        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        edges = [0, *cuts.tolist()]
-        for start, end in zip(edges, edges[1:], strict=False):
-            yield frame.iloc[start:end]
-        rest = frame.iloc[edges[-1] :]
+        starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1)) if len(keys) else np.zeros(1, int)
+        if len(starts) > 1:
+            yield frame.iloc[: starts[-1]], starts
+        rest = frame.iloc[starts[-1] :].reset_index(drop=True)
     if rest is not None and len(rest):
-        yield rest
+        yield rest, np.array([0, len(rest)])
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -151,30 +159,80 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _likely(percent: int) -> int:
-    """Equal tokens that a pair at the threshold has, but for one in a hundred million pairs."""
+    """Equal tokens that a pair at the threshold has, but for about one in ten thousand pairs;
+    more similar pairs are missed less."""
     share = percent / 100
-    return max(1, int(TOKENS * share - 6 * (TOKENS * share * (1 - share)) ** 0.5))
+    return max(1, int(TOKENS * share - 4 * (TOKENS * share * (1 - share)) ** 0.5))
 
 
-def _with_partner(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Members of small nodes that have a partner of another label with many equal tokens."""
+def _ranges(lots: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last) of each run of equal numbers."""
+    cuts = np.concatenate(([0], np.flatnonzero(lots[1:] != lots[:-1]) + 1, [len(lots)]))
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+
+
+def _candidates(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Members of small nodes that have a partner of another label with many equal tokens, each
+    with ``other``, one member for all that such pairs connect."""
     least = _likely(percent)
 
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames, "node"):
-            if len(group) < 2:
-                continue
-            sketch = np.frombuffer(b"".join(group["sketch"]), "<u2").reshape(len(group), TOKENS)
-            label = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
-            found = np.zeros(len(group), bool)
-            for i in range(len(group)):
-                equal = (sketch == sketch[i]).sum(1)
-                found[i] = ((equal >= least) & (label != label[i])).any()
+        for frame, starts in whole_groups(frames, "node"):
+            sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint16).reshape(len(frame), TOKENS)
+            label = np.frombuffer(b"".join(frame["label"]), np.uint64).reshape(len(frame), 2)
+            sizes = np.diff(starts)
+            found, head = np.zeros(len(frame), bool), np.arange(len(frame))
+            # All pairs of whole groups, so many at a time.
+            lots = np.cumsum(sizes.astype(np.int64) ** 2) // PAIRS
+            for first, last in _ranges(lots):
+                size = np.repeat(sizes[first:last], sizes[first:last])
+                start = np.repeat(starts[first:last], sizes[first:last])
+                a = np.repeat(np.arange(starts[first], starts[last]), size)
+                b = np.arange(len(a)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+                a, b = a[a < b], b[a < b]
+                apart = (label[a] != label[b]).any(1)
+                a, b = a[apart], b[apart]
+                alike = (sketch[a] == sketch[b]).sum(1) >= least
+                a, b = a[alike], b[alike]
+                found[a] = found[b] = True
+                while (head[a] != head[b]).any():
+                    lower = np.minimum(head[a], head[b])
+                    np.minimum.at(head, a, lower)
+                    np.minimum.at(head, b, lower)
             if found.any():
-                yield group.loc[found, ["tree", "node", "class", "label"]]
-
-    rows = members.join(sketches, "class")
-    return _dealt(rows).mapInPandas(pick, "tree int, node long, class binary, label binary")
+                other = frame["class"].to_numpy()[head[found]]
+                yield frame.loc[found, ["tree", "node", "class", "label"]].assign(other=other)
+
+    rows = members.select("tree", "node", "class", "label").join(sketches, "class")
+    return _dealt(rows).mapInPandas(pick, CANDIDATE)
+
+
+def _spanning(names: list, labels: list, hashes: list, percent: int) -> list[tuple[bytes, bytes]]:
+    """Edges that connect what similarity connects beyond the labels, from comparing each member
+    with all others."""
+    if len(names) < 2:
+        return []
+    sizes = np.array([len(h) for h in hashes])
+    if len(names) == 2:
+        common = len(np.intersect1d(*hashes, assume_unique=True))
+        similar = labels[0] != labels[1] and 100 * common >= percent * (sizes.sum() - common)
+        return [(names[0], names[1])] if similar else []
+    numbers: dict = {}
+    root = np.array([numbers.setdefault(x, len(numbers)) for x in labels])
+    values, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    edges = []
+    for i in range(len(names)):
+        if (root == root[0]).all():
+            break
+        own = np.zeros(len(values), np.int32)
+        own[codes[starts[i] : starts[i] + sizes[i]]] = 1
+        common = np.add.reduceat(own[codes], starts)
+        for j in np.flatnonzero(100 * common >= percent * (sizes + sizes[i] - common)):
+            if root[i] != root[j]:
+                edges.append((names[i], names[j]))
+                root[root == root[j]] = root[i]
+    return edges
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,28 +240,12 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     linked, and none between what a label connects already."""
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames, "node"):
-            group = group.drop_duplicates("class")
-            n = len(group)
-            if n < 2:
-                continue
-            names, hashes = group["class"].to_numpy(), [np.frombuffer(s, np.uint64) for s in group["set"]]
-            sizes = np.array([len(h) for h in hashes])
-            values, codes = np.unique(np.concatenate(hashes), return_inverse=True)
-            starts = np.cumsum(sizes) - sizes
-            root = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
-            edges = []
-            for i in range(n):
-                if (root == root[i]).all():
-                    break
-                own = np.zeros(len(values), np.int32)
-                own[codes[starts[i] : starts[i] + sizes[i]]] = 1
-                common = np.add.reduceat(own[codes], starts)
-                union = sizes + sizes[i] - common
-                for j in np.flatnonzero(100 * common >= percent * union):
-                    if root[i] != root[j]:
-                        edges.append((names[i], names[j]))
-                        root[root == root[j]] = root[i]
+        for frame, starts in whole_groups(frames, "node"):
+            names, labels = frame["class"].to_list(), frame["label"].to_list()
+            hashes = [np.frombuffer(s, np.uint64) for s in frame["set"]]
+            edges: list[tuple[bytes, bytes]] = []
+            for first, last in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                edges += _spanning(names[first:last], labels[first:last], hashes[first:last], percent)
             if edges:
                 yield pd.DataFrame(edges, columns=["u", "v"])
 
@@ -248,6 +290,7 @@ def _mixed_nodes(rows: DataFrame) -> DataFrame:
 def _blocks(rows: DataFrame) -> DataFrame:
     """Large nodes as small ones: blocks of minor labels with each other and with every block of
     the node's main label, which is linked within itself already."""
+    rows = rows.drop("n")
     labels = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"))
     main = labels.groupBy("node").agg(
         F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("all")
@@ -277,6 +320,23 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return pairs.select("tree", F.col("pair").alias("node"), "class", "label")
 
 
+def _branch_candidates(
+    large: DataFrame, classes: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
+    """Candidates from large nodes: they branch until they are small or hold one label."""
+    found = None
+    for depth in range(DEPTH + 1):
+        rows = scratch.cut(_mixed_nodes(large.select("tree", "node", "class", "label")), "large")
+        last = depth == DEPTH
+        leaves = _blocks(rows) if last else rows.filter(F.col("n") <= NODE_CLASSES)
+        picked = scratch.cut(_candidates(leaves, sketches, percent), "leaves")
+        found = picked if found is None else found.unionByName(picked)
+        rest = rows.filter(F.col("n") > NODE_CLASSES)
+        if last or rest.isEmpty():
+            return found
+        large = _branched(rest, classes, percent)
+
+
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(class, set) of the wanted classes, from one text of each."""
 
@@ -291,6 +351,41 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) ->
     return one.select(full.asNondeterministic()(F.col("text").cast("binary")).alias("s")).select("s.*")
 
 
+def _labelled(members: DataFrame, edges: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """``members`` with the component of each class as its label; by itself without edges."""
+    if edges is None:
+        return members.withColumn("label", F.col("class"))
+    labels = components(edges, scratch).select(F.col("node").alias("class"), F.col("root").alias("label"))
+    known = members.drop("label").join(scratch.cut(labels, "labels"), "class", "left")
+    return known.withColumn("label", F.coalesce("label", "class"))
+
+
+def _verified(candidates: DataFrame, sets: DataFrame, known: DataFrame | None, percent: int, scratch: Scratch) -> DataFrame:
+    """Edges between similar classes among the candidates of all nodes.
+
+    What candidates connect falls into components; those of bounded size are compared in one
+    place each, so that a set is moved once and not for each of its nodes. Members of larger
+    components are compared node by node: in the first trees, and then where labels still meet.
+    """
+    links = candidates.select(F.col("class").alias("u"), F.col("other").alias("v"))
+    placed = components(links, scratch).select(F.col("node").alias("class"), "root")
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    placed = scratch.cut(placed.join(sizes, "root"), "candidate-components")
+    labels = candidates.select("class", "label").distinct()
+    small = placed.filter(F.col("n") <= NODE_CLASSES).join(labels, "class").withColumnRenamed("root", "node")
+    edges = scratch.cut(_linked(small, sets, percent), "links")
+    large = candidates.join(placed.filter(F.col("n") > NODE_CLASSES), "class", "left_semi")
+    large = scratch.cut(large.drop("other"), "large-components")
+    if large.isEmpty():
+        return edges
+    first = _linked(large.filter(F.col("tree") < FIRST_TREES), sets, percent)
+    edges = scratch.cut(edges.unionByName(first), "first-links")
+    linked = edges if known is None else edges.unionByName(known)
+    later = _labelled(large.filter(F.col("tree") >= FIRST_TREES), linked, scratch)
+    more = _linked(_mixed_nodes(later), sets, percent)
+    return scratch.cut(edges.unionByName(more), "all-links")
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -315,49 +410,33 @@ def near_duplicates(
         "classes",
     )
     sketches = classes.select("class", "sketch")
-
-    def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-        if labels is None:
-            return members.withColumn("label", F.col("class"))
-        known = members.join(labels, F.col("class") == F.col("of"), "left")
-        return known.withColumn("label", F.coalesce("label", "class")).drop("of")
-
     nodes = _first_nodes(classes, min_percent)
     sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = scratch.cut(labelled(nodes.join(sizes, "node"), None), "members")
+    members = scratch.cut(_labelled(nodes.join(sizes, "node"), None, scratch), "members")
+    found = _candidates(members.filter(F.col("n") <= NODE_CLASSES), sketches, min_percent)
     large = members.filter(F.col("n") > NODE_CLASSES)
-    small = scratch.cut(
-        _with_partner(members.filter(F.col("n") <= NODE_CLASSES).drop("n"), sketches, min_percent), "partners"
-    )
-    wanted = small.select("class").unionByName(large.select("class")).distinct()
-    sets = scratch.cut(_sets(docs, classes, wanted, shingle_words), "sets")
-
-    # The first trees: small nodes, and random parts of large ones.
-    part = F.pmod(F.xxhash64("class", "tree"), F.ceil(2 * F.col("n") / NODE_CLASSES))
-    parts = large.filter(F.col("tree") < FIRST_TREES).withColumn("node", F.xxhash64("node", part)).drop("n")
-    first = small.filter(F.col("tree") < FIRST_TREES).unionByName(parts)
-    edges = scratch.cut(_linked(first, sets, min_percent), "first-links")
-    labels = scratch.cut(components(edges, scratch).select(F.col("node").alias("of"), F.col("root").alias("label")), "labels")
-
-    # The other trees: only nodes where different components meet.
-    later = labelled(small.filter(F.col("tree") >= FIRST_TREES).drop("label"), labels)
-    leaves = [_with_partner(_mixed_nodes(later).drop("n"), sketches, min_percent)]
-    big = labelled(large.filter(F.col("tree") >= FIRST_TREES).drop("label", "n"), labels)
-    big = scratch.cut(_mixed_nodes(big), "large")
-    depth = 0
-    while not big.isEmpty():
-        if depth == DEPTH:
-            leaves.append(_with_partner(_blocks(big.drop("n")), sketches, min_percent))
-            break
-        leaves.append(_with_partner(big.filter(F.col("n") <= NODE_CLASSES).drop("n"), sketches, min_percent))
-        deeper = _branched(big.filter(F.col("n") > NODE_CLASSES), classes, min_percent)
-        big = scratch.cut(_mixed_nodes(deeper), "large")
-        depth += 1
-    due = leaves[0]
-    for more in leaves[1:]:
-        due = due.unionByName(more)
-    more = _linked(scratch.cut(due, "later"), sets, min_percent)
-    edges = edges.unionByName(scratch.cut(more, "later-links"))
+    if large.isEmpty():
+        candidates = scratch.cut(found, "candidates")
+        sets = scratch.cut(_sets(docs, classes, candidates.select("class"), shingle_words), "sets")
+        edges = _verified(candidates, sets, None, min_percent, scratch)
+    else:
+        # Large nodes in random parts, which links the bulk of a large group; other trees then
+        # branch them where components meet.
+        part = F.pmod(F.xxhash64("class", "tree"), F.ceil(2 * F.col("n") / NODE_CLASSES))
+        parts = large.filter(F.col("tree") < FIRST_TREES).withColumn("node", F.xxhash64("node", part))
+        parts = scratch.cut(_candidates(parts, sketches, min_percent), "part-candidates")
+        found = scratch.cut(found, "small-candidates")
+        sets = scratch.cut(
+            _sets(docs, classes, found.select("class").unionByName(parts.select("class")), shingle_words), "sets"
+        )
+        bulk = scratch.cut(_linked(parts, sets, min_percent), "bulk-links")
+        deep = _branch_candidates(
+            _labelled(large.filter(F.col("tree") >= FIRST_TREES), bulk, scratch), classes, sketches, min_percent, scratch
+        )
+        late = deep.select("class").distinct().join(sets.select("class"), "class", "left_anti")
+        sets = sets.unionByName(scratch.cut(_sets(docs, classes, late, shingle_words), "late-sets"))
+        candidates = scratch.cut(found.unionByName(deep), "candidates")
+        edges = bulk.unionByName(_verified(candidates, sets, bulk, min_percent, scratch))
 
     roots = components(edges, scratch).select(F.col("node").alias("class"), "root")
     placed = classes.select("class", "id").join(roots, "class", "left")
