@@ -101,10 +101,11 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", min
     later copy of a run with ``min_words`` words or more is in one of these runs, and no other.
     """
     lines = scratch.cut(_lines(docs, doc_id), "lines")
-    suffixes = scratch.cut(_repeated(lines), "suffixes")
+    # Repeated rows are one document.
+    suffixes = scratch.cut(_repeated(lines).dropDuplicates(["doc", "pos"]), "suffixes")
     needed = scratch.cut(_needed_runs(suffixes, min_words), "needed")
     longest = needed.agg(F.max("m")).first()[0] or 0
-    suffixes = suffixes.select("doc", "pos", *_NAME).distinct()
+    suffixes = suffixes.select("doc", "pos", *_NAME)
     named = []
     size = 1
     while size <= longest:
