@@ -225,6 +225,8 @@ def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
 def word_shares(texts: list[str], model: LanguageModel) -> np.ndarray:
     """Expected number of words of each language in each text."""
     shares = np.zeros((len(texts), len(model.languages)))
+    if not model.languages:
+        return shares
     for numbers, lot in _pieces(texts):
         words = _words(lot)
         if len(words.offsets):
