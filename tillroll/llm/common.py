@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.scratch import Scratch
@@ -28,6 +28,35 @@ def word_count(text: Column | str) -> Column:
     return F.size(words).cast("long")
 
 
+def hash_sample(docs: DataFrame, hashed: Column, by: list[str], size: int, groups: int) -> DataFrame:
+    """Rows of ``docs`` for training: of each group of the columns ``by`` (none may be null), those
+    with the ``size`` smallest different hashes, one row for each hash.
+
+    At most ``groups`` groups, the most frequent ones, take part. Only hashes are ranked; the
+    limits, one number per group, then filter the rows.
+    """
+    slim = docs.select(*by, hashed.alias("_hash")).groupBy(*by, "_hash").agg(F.count(F.lit(1)).alias("_n"))
+    if by:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("_hash"))
+        first = slim.withColumn("_nth", place).filter(F.col("_nth") <= size)
+    else:
+        first = slim.orderBy("_hash").limit(size)
+    limits = first.groupBy(*by).agg(F.max("_hash").alias("_limit"))
+    if by:
+        frequent = slim.groupBy(*by).agg(F.sum("_n").alias("_n")).orderBy(F.desc("_n"), *by).limit(groups)
+        limits = limits.join(frequent, by)
+    within = F.lit(False)
+    for row in limits.collect():  # bounded by groups
+        if row["_limit"] is not None:
+            same = [F.col(c) == F.lit(row[c]) for c in by]
+            condition = hashed <= F.lit(row["_limit"])
+            for equal in same:
+                condition = condition & equal
+            within = within | condition
+    picked = docs.filter(within).withColumn("_hash", hashed)
+    return picked.dropDuplicates([*by, "_hash"]).drop("_hash")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of ``edges(u, v)``; the root is the component's least node.
 

@@ -13,10 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import hash_sample
+
 BUCKET_BITS = 17
 CHAIN = 64
 PIECE_CHARS = 400_000  # how much of a long text is in memory at once
@@ -242,14 +244,12 @@ def sample_for_training(docs: DataFrame, usable=None) -> DataFrame:
     rows = rows.filter("text is not null and lang is not null")
     if usable is not None:
         rows = rows.filter("_ok")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    ranked = rows.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= TRAIN_DOCS_PER_LANGUAGE)
-    return ranked.orderBy("_rank", "lang").limit(TRAIN_DOCS_PER_LANGUAGE * MAX_LANGUAGES).select("text", "lang")
+    return hash_sample(rows, F.xxhash64("text"), ["lang"], TRAIN_DOCS_PER_LANGUAGE, MAX_LANGUAGES).select("text", "lang")
 
 
 def fit(docs: DataFrame, usable=None) -> LanguageModel:
     """Train on the bounded sample; without any labelled text, a model without languages."""
-    sample = sample_for_training(docs, usable).collect()
+    sample = sample_for_training(docs, usable).orderBy("lang", "text").collect()
     return train([r["text"] for r in sample], [r["lang"] for r in sample])
 
 

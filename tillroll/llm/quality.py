@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import hash_sample
 from tillroll.llm.decontaminate import _FOLD
 from tillroll.llm.near_dup import _pieces, _word_hashes
 from tillroll.scratch import Scratch
@@ -120,10 +121,13 @@ def train(texts: list[bytes | None], labels: np.ndarray) -> QualityModel:
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Train on at most ``TRAIN_DOCS`` labelled documents of each combination of labels."""
-    known = docs.select("doc_id", "text").join(labels, "doc_id")
-    by_hash = Window.partitionBy(*TARGETS).orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= TRAIN_DOCS)
-    sample = picked.orderBy("nth", *TARGETS).limit(TRAIN_DOCS * 4).collect()
+    hashed = F.xxhash64("doc_id")
+    picked = {r["doc_id"]: r for r in hash_sample(labels, hashed, list(TARGETS), TRAIN_DOCS, 4).collect()}
+    wanted = docs.select("doc_id", "text").filter(F.col("doc_id").isin(list(picked)))
+    sample = [
+        {**picked[r["doc_id"]].asDict(), "text": r["text"]}
+        for r in wanted.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    ]
     texts = [None if r["text"] is None else r["text"].encode("utf-8") for r in sample]
     return train(texts, np.array([[float(r[t]) for t in TARGETS] for r in sample]).reshape(-1, len(TARGETS)))
 

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import hash_sample
+
 # Kinds in the order they are listed, their patterns, and what a match must have.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -106,7 +108,7 @@ def fit(docs: DataFrame) -> list[float] | None:
         return strings.distinct().orderBy(F.xxhash64("s"), "s").limit(TRAIN_STRINGS)
 
     random = _transitions(sample(likely.select(F.explode(values).alias("s"))))
-    few = docs.filter("text is not null").orderBy(F.xxhash64("text"), "text").limit(TRAIN_DOCS)
+    few = hash_sample(docs.filter("text is not null").select("text"), F.xxhash64("text"), [], TRAIN_DOCS, 1)
     words = few.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("s"))
     ordinary = _transitions(sample(words))
     return log_ratios(random, ordinary) if random and ordinary else None
