@@ -6,13 +6,11 @@ import hashlib
 import random
 import re
 
-import duckdb
 import pytest
 
 from tests.conftest import rows
 from tillroll.llm import line_dedup, near_dup, suffix_dedup
 
-FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
 
 
@@ -67,11 +65,6 @@ def test_line_dedup_edges(spark, scratch):
     assert line_dedup.dedup_lines(docs.limit(0), scratch).count() == 0
 
 
-def test_line_dedup_query_equals_sql(spark):
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
-    expected = connection.sql(line_dedup.LINE_DEDUP_SQL).fetchall()
-    assert rows(line_dedup.line_dedup_query(spark, FOLDER)) == sorted(expected, key=repr)
 
 
 # -- near duplicates ---------------------------------------------------------------------------
