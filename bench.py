@@ -33,6 +33,9 @@ HEADLINE = (
     "dim_customer",
     "dim_product",
     "dim_date",
+    "lookup_date_key",
+    "lookup_product",
+    "lookup_customer",
     "fact_sales",
     "top_n_per_group",
     "pk_violations",

@@ -10,6 +10,11 @@ _KEY_ORDER = (
     "quantity NULLS LAST, customer_id NULLS LAST"
 )
 
+# Rules that several queries share.
+_HAS_KEYS = "customer_id IS NOT NULL AND invoice_no IS NOT NULL AND stock_code IS NOT NULL"
+_LACKS_KEYS = "customer_id IS NULL OR invoice_no IS NULL OR stock_code IS NULL"
+_IS_RETURN = "invoice_no LIKE 'C%'"
+
 # Each entry may refer to the ones it names in the first place.
 _PARTS = {
     "base": ((), """
@@ -58,7 +63,7 @@ _PARTS = {
     "valid": (("clean",), f"""
         SELECT DISTINCT ON (invoice_no, stock_code, invoice_date, quantity, customer_id) {_COLUMNS}
         FROM clean
-        WHERE NOT (customer_id IS NULL OR invoice_no IS NULL OR stock_code IS NULL)
+        WHERE {_HAS_KEYS}
         ORDER BY {_KEY_ORDER}, description NULLS LAST, unit_price NULLS LAST, country NULLS LAST"""),
     "country_counts": (("valid",), """
         SELECT customer_id, country, CAST(count(*) AS BIGINT) AS orders_count
@@ -93,7 +98,7 @@ _PARTS = {
         SELECT CAST(row_number() OVER (ORDER BY {_KEY_ORDER}) AS BIGINT) AS fact_id,
                invoice_no, stock_code, customer_id, invoice_date_id, quantity, unit_price,
                CAST(quantity * unit_price AS DECIMAL(10,2)) AS total_amount,
-               left(invoice_no, 1) = 'C' AS return_flag
+               {_IS_RETURN} AS return_flag
         FROM valid JOIN dim_date USING (invoice_date)
         WHERE stock_code IN (SELECT stock_code FROM dim_product)
           AND customer_id IN (SELECT customer_id FROM dim_customer)"""),
@@ -164,6 +169,8 @@ ORACLE_SQL: dict[str, str] = {
                                    THEN description || ', "new"' || chr(10) || 'line'
                                ELSE description END AS description)
         FROM raw""", "raw"),
+    "json_roundtrip": _all("raw"),
+    "parquet_roundtrip": _all("raw"),
     "raw_orders": _all("raw"),
     "write_table": _all("clean"),
     "row_counts": _sql(_COUNTS, "fact_sales"),
@@ -178,26 +185,23 @@ ORACLE_SQL: dict[str, str] = {
                           CAST(customer_id AS INT) AS customer_id)
         FROM raw""", "raw"),
     "stg_orders_raw_clean": _all("clean"),
-    "required_keys": _sql("""
-        SELECT * FROM clean
-        WHERE customer_id IS NOT NULL AND invoice_no IS NOT NULL AND stock_code IS NOT NULL""", "clean"),
-    "rejected_rows": _sql("""
+    "required_keys": _sql(f"SELECT * FROM clean WHERE {_HAS_KEYS}", "clean"),
+    "rejected_rows": _sql(f"""
         SELECT *, concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer_id' END,
                                  CASE WHEN invoice_no IS NULL THEN 'invoice_no' END,
                                  CASE WHEN stock_code IS NULL THEN 'stock_code' END) AS reason
-        FROM clean
-        WHERE customer_id IS NULL OR invoice_no IS NULL OR stock_code IS NULL""", "clean"),
+        FROM clean WHERE {_LACKS_KEYS}""", "clean"),
     "return_flag": _sql(
-        "SELECT *, coalesce(invoice_no LIKE 'C%', false) AS return_flag FROM clean", "clean"),
+        f"SELECT *, coalesce({_IS_RETURN}, false) AS return_flag FROM clean", "clean"),
     "total_amount": _sql(
         "SELECT *, CAST(quantity * unit_price AS DECIMAL(10,2)) AS total_amount FROM clean", "clean"),
-    "apply_defaults": _sql("""
+    "apply_defaults": _sql(f"""
         SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_stamped,
                CAST(1 AS BIGINT) AS n_load_times,
-               CAST(count(*) FILTER (invoice_no LIKE 'C%') AS BIGINT) AS n_returns,
-               CAST(count(*) FILTER (invoice_no NOT LIKE 'C%') AS BIGINT) AS n_sales
+               CAST(count(*) FILTER ({_IS_RETURN}) AS BIGINT) AS n_returns,
+               CAST(count(*) FILTER (NOT {_IS_RETURN}) AS BIGINT) AS n_sales
         FROM clean""", "clean"),
-    "returns_only": _sql("SELECT * FROM clean WHERE invoice_no LIKE 'C%'", "clean"),
+    "returns_only": _sql(f"SELECT * FROM clean WHERE {_IS_RETURN}", "clean"),
     "date_parts": """
         SELECT l_orderkey, l_linenumber, l_shipdate,
                CAST(extract(day FROM l_shipdate) AS INT) AS day,
@@ -217,28 +221,60 @@ ORACLE_SQL: dict[str, str] = {
                 ORDER BY unit_price DESC, {_KEY_ORDER}) AS INT) AS position
             FROM valid)
         WHERE position <= 3""", "valid"),
+    "top_n_beyond_the_early_cut": _sql(f"""
+        SELECT country, position, invoice_no, stock_code, unit_price FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY country
+                ORDER BY unit_price DESC, {_KEY_ORDER}) AS INT) AS position
+            FROM (SELECT * REPLACE (CASE WHEN quantity % 3 = 0 THEN 'HOT' ELSE country END AS country)
+                  FROM valid WHERE unit_price IS NOT NULL))
+        WHERE position <= 5000""", "valid"),
     "dim_customer": _all("dim_customer"),
     "dim_product": _all("dim_product"),
     "dim_date": _all("dim_date"),
     "lookup_date_key": _sql(
         "SELECT v.*, invoice_date_id FROM valid v JOIN dim_date d ON v.invoice_date = d.invoice_date",
         "dim_date"),
-    "lookup_product": _sql(
+    "lookup": _sql(
         "SELECT v.*, p.description AS product FROM valid v JOIN dim_product p USING (stock_code)",
         "dim_product"),
-    "lookup_customer": _sql(
-        "SELECT v.*, c.country AS main_country FROM valid v JOIN dim_customer c USING (customer_id)",
+    "lookup_product": _sql("""
+        SELECT * FROM valid
+        WHERE stock_code IN (SELECT stock_code FROM dim_product WHERE description IS NOT NULL)""",
+        "dim_product"),
+    "lookup_customer": _sql("""
+        SELECT * FROM valid
+        WHERE customer_id IN (SELECT customer_id FROM dim_customer WHERE country <> 'FRANCE')""",
         "dim_customer"),
     "fact_sales": _all("fact_sales"),
+    "published_star": _sql("""
+        SELECT f.* EXCLUDE (invoice_date_id), invoice_date, p.description AS product, c.country AS main_country
+        FROM fact_sales f JOIN dim_date USING (invoice_date_id) JOIN dim_product p USING (stock_code)
+        JOIN dim_customer c USING (customer_id)""", "fact_sales"),
+    "raw_load_log": _sql("""
+        SELECT 'raw_orders' AS table_name, 'SUCCESS' AS status,
+               CAST(count(*) + second AS BIGINT) AS row_count, false AS refused
+        FROM raw, (VALUES (0), (1)) batches(second) GROUP BY second""", "raw"),
+    "staging_load_log": _sql("""
+        SELECT 'stg_orders_raw_clean' AS table_name, 'SUCCESS' AS status,
+               CAST(count(*) + second AS BIGINT) AS row_count, false AS refused
+        FROM clean, (VALUES (0), (1)) batches(second) GROUP BY second
+        UNION ALL
+        SELECT 'stg_orders_valid', 'SUCCESS', CAST(count(*) + second AS BIGINT), false
+        FROM valid, (VALUES (0), (1)) batches(second) GROUP BY second""", "valid"),
+    "business_load_log": _sql(
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, 'SUCCESS' AS status, CAST(count(*) AS BIGINT) AS row_count, "
+            f"false AS refused FROM {t} UNION ALL SELECT '{t}', 'FAILED', NULL, true"
+            for t in ("dim_customer", "dim_product", "dim_date", "fact_sales")
+        ),
+        "fact_sales"),
     "pk_violations": """
         SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows
         FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "fk_violations": """
         SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
         WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_type <> 'PROMO')""",
-    "null_violations": _sql("""
-        SELECT * FROM clean
-        WHERE customer_id IS NULL OR invoice_no IS NULL OR stock_code IS NULL""", "clean"),
+    "null_violations": _sql(f"SELECT * FROM clean WHERE {_LACKS_KEYS}", "clean"),
     "length_violations": _sql("SELECT * FROM clean WHERE length(description) > 12", "clean"),
     "range_violations": """
         SELECT * FROM (
@@ -246,6 +282,11 @@ ORACLE_SQL: dict[str, str] = {
                    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 10000 AS DECIMAL(18,2)) AS amount
             FROM lineitem)
         WHERE abs(amount) >= 100000000""",
+    "bad_timestamps": """
+        WITH planted AS (SELECT ['40513', '101201', '2010', '2010-12', '2010-12-01 08:26:00+05:00',
+                                 '2010-13-01', '12/1/2010 8:26', NULL] AS cells)
+        SELECT o_orderkey, cells[o_orderkey % 8 + 1] AS invoice_date FROM orders, planted
+        WHERE o_orderkey % 3 = 0 AND cells[o_orderkey % 8 + 1] IS NOT NULL""",
     "audit_latest": _all("latest_events"),
     "stage_durations": _sql("""
         SELECT batch_id, layer, table_name, status,

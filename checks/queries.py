@@ -10,14 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.order_lines import order_lines
 from tillroll import operators, plans, schemas
 from tillroll.functions import DATE_PARTS, return_flag, total_amount
 from tillroll.plans.runner import run_pipeline
 from tillroll.scratch import Scratch
 from tillroll.sources import audit
 from tillroll.sources.landing import read_landing, write_landing
-from tillroll.sources.order_lines import order_lines
-from tillroll.sources.warehouse import Warehouse
+from tillroll.sources.warehouse import ConstraintError, Warehouse
 
 KEYS = schemas.DEDUPE_KEYS
 ORDER = schemas.ORDER_COLUMNS
@@ -82,7 +82,19 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = Scratch(spark).new_path("landing")
     write_landing(order_lines(spark, folder).withColumn("description", awkward), path)
-    return read_landing(spark, path)
+    return read_landing(spark, path, multi_line=True)
+
+
+def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    path = Scratch(spark).new_path("landing")
+    _sheet(spark, folder).write.json(path, ignoreNullFields=False)
+    return operators.rename_columns(read_landing(spark, path, "json"))
+
+
+def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    path = Scratch(spark).new_path("landing")
+    _sheet(spark, folder).write.parquet(path)
+    return operators.rename_columns(read_landing(spark, path, "parquet"))
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +111,7 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts as the load log of a whole batch has them."""
     warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
     run_pipeline(spark, _sheet(spark, folder), warehouse.root)
-    states = audit.audit_latest(warehouse.log.events())
+    states = audit.audit_latest(audit.stage_events(warehouse.log.events()))
     return states.select("layer", F.col("table").alias("table_name"), "status", "row_count")
 
 
@@ -156,6 +168,15 @@ def date_parts(spark: SparkSession, folder: str) -> DataFrame:
 # -- grouping and ranking --------------------------------------------------------------------
 
 
+def top_n_beyond_the_early_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5,000 dearest lines of each country, one of which holds a third of them."""
+    valid = _valid(spark, folder).filter(F.col("unit_price").isNotNull())
+    hot = F.when(F.col("quantity") % 3 == 0, "HOT").otherwise(F.col("country"))
+    order = [F.desc("unit_price"), *(F.asc_nulls_last(k) for k in KEYS)]
+    ranked = operators.top_n_per_group(valid.withColumn("country", hot), ["country"], order, 5_000, "position")
+    return ranked.select("country", "position", "invoice_no", "stock_code", "unit_price")
+
+
 def top_n_per_group(spark: SparkSession, folder: str) -> DataFrame:
     """The three dearest lines of each customer."""
     order = [F.desc("unit_price"), *(F.asc_nulls_last(k) for k in KEYS)]
@@ -177,16 +198,58 @@ def lookup_date_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lookup_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the products that have a description."""
+    valid, scratch = _stored_valid(spark, folder)
+    described = plans.build_dim_product(valid).filter(F.col("description").isNotNull())
+    return plans.lookup_product(valid, described, scratch).select(*ORDER)
+
+
+def lookup_customer(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the customers that are not mainly French."""
+    valid, scratch = _stored_valid(spark, folder)
+    others = plans.build_dim_customer(valid).filter(F.col("country") != "FRANCE")
+    return plans.lookup_customer(valid, others, scratch).select(*ORDER)
+
+
+def lookup(spark: SparkSession, folder: str) -> DataFrame:
     valid, _ = _stored_valid(spark, folder)
     products = plans.build_dim_product(valid).withColumnRenamed("description", "product")
     return operators.lookup(valid, products, "stock_code", ["product"]).select(*ORDER, "product")
 
 
-def lookup_customer(spark: SparkSession, folder: str) -> DataFrame:
-    valid, _ = _stored_valid(spark, folder)
-    customers = plans.build_dim_customer(valid).withColumnRenamed("country", "main_country")
-    found = operators.lookup(valid, customers, "customer_id", ["main_country"])
-    return found.select(*ORDER, "main_country")
+def published_star(spark: SparkSession, folder: str) -> DataFrame:
+    """The published fact with its dimensions after a second batch that fails at the fact.
+
+    The second sheet holds an earlier date, which would shift every date key, and a line without
+    a quantity, which the fact refuses.
+    """
+    warehouse = _failed_second_batch(spark, folder)
+    fact = warehouse.read(schemas.FACT_SALES)
+    date = warehouse.read(schemas.DIM_DATE).select("invoice_date_id", "invoice_date")
+    product = warehouse.read(schemas.DIM_PRODUCT).select("stock_code", F.col("description").alias("product"))
+    customer = warehouse.read(schemas.DIM_CUSTOMER).select("customer_id", F.col("country").alias("main_country"))
+    star = fact.join(date, "invoice_date_id").join(product, "stock_code").join(customer, "customer_id")
+    return star.select(
+        "fact_id", "invoice_no", "stock_code", "customer_id", "invoice_date", "quantity", "unit_price",
+        "total_amount", "return_flag", "product", "main_country",
+    )
+
+
+def _failed_second_batch(spark: SparkSession, folder: str) -> Warehouse:
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
+    sheet = _sheet(spark, folder)
+    run_pipeline(spark, sheet, warehouse.root)
+    bad = sheet.limit(1).select(
+        *(
+            F.lit({"InvoiceNo": "0", "StockCode": "X", "CustomerID": "1", "InvoiceDate": "1900-01-01 00:00:00"}.get(c)).alias(c)
+            for c in sheet.columns
+        )
+    )
+    try:
+        run_pipeline(spark, sheet.unionByName(bad), warehouse.root)
+    except ConstraintError:
+        return warehouse
+    raise AssertionError("a line without quantity was taken")
 
 
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,9 +296,32 @@ def range_violations(spark: SparkSession, folder: str) -> DataFrame:
     return operators.range_violations(lines, {"amount": "decimal(10,2)"})
 
 
+def bad_timestamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells that are no full timestamps, planted among order dates."""
+    key = F.col("o_orderkey")
+    date = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
+    planted = ["40513", "101201", "2010", "2010-12", "2010-12-01 08:26:00+05:00", "2010-13-01", "12/1/2010 8:26", None]
+    cell = F.when(key % 3 == 0, F.element_at(F.array(*(F.lit(x) for x in planted)), (key % len(planted) + 1).cast("int")))
+    cell = cell.otherwise(F.when(key % 3 == 1, date).otherwise(F.concat(date, F.lit(" 08:26:00"))))
+    cells = _table(spark, folder, "orders").select("o_orderkey", cell.alias("invoice_date"))
+    return operators.bad_timestamps(cells, "invoice_date")
+
+
 # -- audit -----------------------------------------------------------------------------------
 
 
+def _log_after_failure(layer: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The log of a layer after a batch and a second one that fails at the fact."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        log = audit.load_log(_failed_second_batch(spark, folder).log.events(), layer)
+        named = F.lit("raw_orders") if layer == "raw" else F.col("table")
+        refused = F.coalesce(F.col("error_message").contains("quantity NOT NULL"), F.lit(False))
+        return log.select(named.alias("table_name"), "status", "row_count", refused.alias("refused"))
+
+    return query
+
+
 def _load_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events table read as stage events: users are batches, event types are tables."""
     event_id = F.col("event_id")
@@ -279,6 +365,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rename_columns": rename_columns,
     "normalize_nulls": normalize_nulls,
     "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
+    "parquet_roundtrip": parquet_roundtrip,
     "raw_orders": raw_orders,
     "write_table": write_table,
     "row_counts": row_counts,
@@ -299,18 +387,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "description_counts": _over_valid(plans.description_counts),
     "distinct_dates": _over_valid(plans.distinct_dates),
     "top_n_per_group": top_n_per_group,
+    "top_n_beyond_the_early_cut": top_n_beyond_the_early_cut,
     "dim_customer": _over_valid(plans.build_dim_customer),
     "dim_product": _over_valid(plans.build_dim_product),
     "dim_date": dim_date,
     "lookup_date_key": lookup_date_key,
+    "lookup": lookup,
     "lookup_product": lookup_product,
     "lookup_customer": lookup_customer,
     "fact_sales": fact_sales,
+    "published_star": published_star,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
     "null_violations": null_violations,
     "length_violations": length_violations,
     "range_violations": range_violations,
+    "bad_timestamps": bad_timestamps,
     "audit_latest": audit_latest,
     "stage_durations": stage_durations,
+    "raw_load_log": _log_after_failure("raw"),
+    "staging_load_log": _log_after_failure("staging"),
+    "business_load_log": _log_after_failure("business"),
 }

@@ -1,5 +1,7 @@
 """Whole batches: results, reruns, failures, log and snapshots."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,7 +97,7 @@ def test_a_bad_cell_stops_the_batch_and_keeps_the_old_tables(spark, sheet, tmp_p
     assert {k: v for k, v in after.items() if k != "raw_orders"} == {
         k: v for k, v in before.items() if k != "raw_orders"
     }
-    states = audit.audit_latest(warehouse.log.events())
+    states = audit.audit_latest(audit.stage_events(warehouse.log.events()))
     failed = states.filter("status = 'FAILED'").collect()
     assert [(r.table, r.row_count) for r in failed] == [("stg_orders_raw_clean", None)]
     assert "6.0" in failed[0].error_message and failed[0].finished_at is not None
@@ -107,12 +109,89 @@ def test_a_missing_quantity_stops_at_the_fact(spark, sheet, tmp_path):
     with pytest.raises(Exception, match="quantity NOT NULL"):
         run_pipeline(spark, sheet(no_quantity), str(tmp_path))
     warehouse = Warehouse(spark, str(tmp_path))
-    assert warehouse.read(schemas.DIM_DATE).count() == 1
-    assert warehouse.read(schemas.FACT_SALES).isEmpty()
+    assert warehouse.read(schemas.ORDERS_VALID).count() == 1
+    for table in (schemas.DIM_DATE, schemas.DIM_PRODUCT, schemas.DIM_CUSTOMER, schemas.FACT_SALES):
+        assert warehouse.read(table).isEmpty()
+        assert list_folders(spark, f"{tmp_path}/business/{table.name}") == []
+
+
+def test_old_lines_keep_their_dates_after_a_failed_batch(spark, sheet, tmp_path):
+    """An earlier date would shift every date key, if dates were published without the fact."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    line = lambda no, date, quantity="1": (no, "A", "CUP", quantity, f"{date} 08:00:00", "1.00", "7", "UK")
+    first = [line("1", "2010-12-01"), line("2", "2010-12-02")]
+    run_pipeline(spark, sheet(*first), str(tmp_path))
+
+    def dates():
+        fact = warehouse.read(schemas.FACT_SALES)
+        found = fact.join(warehouse.read(schemas.DIM_DATE), "invoice_date_id")
+        return rows(found.select("invoice_no", F.col("invoice_date").cast("string")))
+
+    expected = [("1", "2010-12-01 08:00:00"), ("2", "2010-12-02 08:00:00")]
+    assert dates() == expected
+    with pytest.raises(Exception, match="quantity NOT NULL"):
+        run_pipeline(spark, sheet(*first, line("3", "2010-11-30", None)), str(tmp_path))
+    assert dates() == expected
+    run_pipeline(spark, sheet(*first, line("3", "2010-11-30")), str(tmp_path))
+    assert dates() == [*expected, ("3", "2010-11-30 08:00:00")]
+
+
+def test_only_one_batch_may_be_open(spark, sheet, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.log.open_batch("dead")
+    with pytest.raises(audit.BatchOpenError, match="dead"):
+        run_pipeline(spark, sheet(*SHEET), str(tmp_path))
+    run_pipeline(spark, sheet(*SHEET), str(tmp_path), take_over=True, verify_keys=False)
+    run_pipeline(spark, sheet(*SHEET[:1]), str(tmp_path), verify_keys=False)
+    ended = audit.audit_latest(warehouse.log.events()).filter("batch_id = 'dead'").first()
+    assert ended.status == "FAILED" and "taken over" in ended.error_message
+    seqs = [r.seq for r in warehouse.log.events().select("seq").collect()]
+    assert sorted(seqs) == list(range(1, len(seqs) + 1))
+
+
+def test_of_two_batches_that_open_at_once_one_withdraws(spark, tmp_path):
+    log, other = (Warehouse(spark, str(tmp_path)).log for _ in range(2))
+    log._append({**audit._batch("a"), "status": "STARTED"})
+    other._last_seq = 0
+    other._append({**audit._batch("b"), "status": "STARTED"})
+    assert [batch for _, batch in log._open_batches()] == ["a", "b"]
+
+
+def test_the_log_follows_its_own_numbers_and_not_the_clock(spark, sheet, tmp_path, monkeypatch):
+    run_pipeline(spark, sheet(*SHEET), str(tmp_path), verify_keys=False)
+    early = datetime.datetime(1990, 1, 1)
+    monkeypatch.setattr(audit, "_now", lambda: early)
+    batch = run_pipeline(spark, sheet(*SHEET[:1]), str(tmp_path), verify_keys=False)
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert set(warehouse.current_batches().values()) == {batch.batch_id}
+
+
+def test_long_file_names_are_refused(spark, tmp_path):
+    log = Warehouse(spark, str(tmp_path)).log
+    assert log.start(schemas.RAW_ORDERS, "b", "x" * 255 + "  ")["file_name"] == "x" * 255
+    with pytest.raises(ValueError, match="255"):
+        log.start(schemas.RAW_ORDERS, "b", "x" * 256)
+
+
+def test_line_breaks_in_cells_are_named(spark, sheet, tmp_path):
+    broken = (*SHEET[0][:2], "two\nlines", *SHEET[0][3:])
+    write_landing(sheet(broken), str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="multi_line"):
+        run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "dwh"))
+    run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "dwh"), multi_line=True, verify_keys=False)
+
+
+def test_a_namespace_of_others_is_not_dropped(spark, tmp_path):
+    spark.sql(f"CREATE NAMESPACE mine_raw LOCATION '{tmp_path}/elsewhere'")
+    try:
+        with pytest.raises(ValueError, match="prefix"):
+            Warehouse(spark, str(tmp_path), prefix="mine_").create_layers(drop=True)
+    finally:
+        spark.sql("DROP NAMESPACE mine_raw CASCADE")
 
 
 def test_failure_in_any_later_stage(spark, sheet, tmp_path):
-    """Earlier tables are new, the failing one and all later ones are unchanged."""
+    """Business tables change all at once or not at all, and a failed stage leaves no folder."""
     warehouse = Warehouse(spark, str(tmp_path))
     run_pipeline(spark, sheet(*SHEET), str(tmp_path), verify_keys=False)
 
@@ -129,7 +208,8 @@ def test_failure_in_any_later_stage(spark, sheet, tmp_path):
                 run_pipeline(spark, sheet(*SHEET), str(tmp_path), verify_keys=False)
         new = warehouse.current_batches()
         for i, t in enumerate(schemas.TABLES):
-            assert (new[t.layer, t.name] == old[t.layer, t.name]) == (i >= position)
+            assert (new[t.layer, t.name] == old[t.layer, t.name]) == (i >= 3)
+            assert len(list_folders(spark, f"{tmp_path}/{t.layer}/{t.name}")) == (1 if i >= 3 else position - 1)
 
 
 def test_a_stage_that_never_ended_shows_as_started(spark, tmp_path):
@@ -150,10 +230,14 @@ def test_catalog_tables_follow_the_snapshots(spark, sheet, tmp_path):
     assert spark.table("business.fact_sales").count() == 0
     run_pipeline(spark, sheet(*SHEET), str(tmp_path))
     assert spark.table("business.fact_sales").count() == 3
-    assert spark.table("audit.load_events").count() == 14
+    assert spark.table("audit.load_events").count() == 16
+    logged = spark.sql("SELECT `table`, status, row_count FROM audit.business_load_log")
+    assert rows(logged)[-1] == ("fact_sales", "SUCCESS", 3) and logged.count() == 4
+    assert spark.table("audit.staging_load_log").columns[:2] == ["batch_id", "table"]
+    assert spark.table("audit.raw_load_log").columns[:2] == ["batch_id", "file_name"]
     run_pipeline(spark, sheet(*SHEET[:1]), str(tmp_path))
     assert spark.sql("SELECT max(fact_id) FROM business.fact_sales").first()[0] == 1
-    assert spark.table("audit.load_events").count() == 28
+    assert spark.table("audit.load_events").count() == 32
     # A new catalog over the same folder finds the current snapshots.
     warehouse.create_layers(drop=True)
     assert spark.table("raw.raw_orders").count() == 1
@@ -184,7 +268,7 @@ def test_command_line(spark, sheet, tmp_path, capfd):
     lines = lines.withColumn("InvoiceDate", F.lit("12/1/2010 8:26"))
     write_landing(lines, str(tmp_path / "in"))
     main(
-        [str(tmp_path / "in"), str(tmp_path / "dwh"), "--single-line", "--skip-key-checks",
+        [str(tmp_path / "in"), str(tmp_path / "dwh"), "--skip-key-checks",
          "--timestamp-format", "M/d/yyyy H:mm", "--keep-snapshots", "1"]
     )
     assert Warehouse(spark, str(tmp_path / "dwh")).read(schemas.FACT_SALES).count() == 1

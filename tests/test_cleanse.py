@@ -137,3 +137,20 @@ def test_standardising_twice_changes_nothing(raw, texts):
     once = operators.standardize_text(raw(*({"description": t} for t in texts)))
     assert rows(operators.standardize_text(once)) == rows(once)
     assert [r.description for r in once.collect()] == [t.strip(" ").upper() for t in texts]
+
+
+@pytest.mark.parametrize("cell", ["40513", "101201", "2010", "2010-12", "2010-12-01 08:26:00+05:00", "2010-12-01T08:26:00Z"])
+@pytest.mark.parametrize("form", [None, "M/d/yyyy H:mm"])
+def test_cells_that_are_no_full_date_fail(raw, cell, form):
+    df = raw({"invoice_date": cell})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        operators.cast_strict(df, schemas.TYPED_COLUMNS, form).collect()
+    if form is None:
+        assert operators.bad_timestamps(df, "invoice_date").count() == 1
+
+
+@pytest.mark.parametrize("cell", ["2010-12-01", "2010-12-01 08:26", "2010-12-01T08:26:00.5", None])
+def test_full_dates_are_taken(raw, cell):
+    df = raw({"invoice_date": cell})
+    assert operators.cast_strict(df, schemas.TYPED_COLUMNS).count() == 1
+    assert operators.bad_timestamps(df, "invoice_date").isEmpty()

@@ -86,8 +86,10 @@ def test_keys_are_checked_after_writing(spark, warehouse, lines):
         warehouse.write_snapshot(schemas.DIM_DATE, dates, batch)
         assert warehouse.write_snapshot(schemas.FACT_SALES, rows_, batch) == 2
         if message:
-            with pytest.raises(ConstraintError, match=message):
+            with pytest.raises(ConstraintError, match=f"{message} broken by 1 keys"):
                 warehouse.check_keys(schemas.FACT_SALES, batch, 2)
+            path = warehouse.violations_path(schemas.FACT_SALES, batch, message)
+            assert spark.read.parquet(path).count() == 1
         else:
             warehouse.check_keys(schemas.FACT_SALES, batch, 2)
 

@@ -1,7 +1,7 @@
 import pytest
 
 from tillroll.scratch import Scratch, list_folders, shared_folder
-from tillroll.session import MIB, cluster_conf
+from tillroll.session import MIB, cluster_conf, folder_bytes, require_session
 
 TIB = 1 << 40
 
@@ -22,6 +22,27 @@ def test_task_sizes_grow_only_when_task_counts_would_explode():
     assert int(hundred["spark.sql.files.maxPartitionBytes"]) / 3 > 4 * block
 
 
+def test_bounds_can_be_moved():
+    conf = cluster_conf(100 * TIB, cores=8000, max_scan_tasks=1_000_000, max_shuffle_partitions=200_000)
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * MIB)
+    assert conf["spark.sql.shuffle.partitions"] == "200000"
+
+
+def test_size_of_a_folder(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.csv").write_text("12345")
+    (tmp_path / "deep" / "b.csv").write_text("123")
+    assert folder_bytes(spark, str(tmp_path)) == 8
+
+
+@pytest.mark.parametrize("name", ["spark.sql.ansi.enabled", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"])
+def test_a_session_that_would_lose_values_or_choke_on_hot_keys_is_refused(spark, name):
+    session = spark.newSession()
+    session.conf.set(name, "false")
+    with pytest.raises(RuntimeError, match=name):
+        require_session(session)
+
+
 class _Cluster:
     """A session on a cluster that names no shared folder."""
 

@@ -5,10 +5,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from checks.order_lines import order_lines
 from tests.conftest import at, rows
 from tests.test_cleanse import plan_of
 from tillroll import operators, plans
-from tillroll.sources.order_lines import order_lines
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -129,19 +129,26 @@ def test_unknown_dimension_rows_leave_no_gap(spark, lines, scratch, size_limit):
     assert rows(fact.select("fact_id", "invoice_no")) == [(1, "1"), (2, "3"), (3, "6")]
 
 
-def test_known_only_keeps_rows_and_drops_missing_keys(spark, size_limit):
+def test_known_only_keeps_rows_and_drops_missing_keys(spark, scratch, size_limit):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
     both = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    assert rows(operators.known_only(df, both, "k")) == [(1, "a"), (1, "b"), (2, "c")]
-    assert rows(operators.known_only(df, both.filter("k <> 2"), "k")) == [(1, "a"), (1, "b")]
+    assert rows(operators.known_only(df, both, "k", scratch)) == [(1, "a"), (1, "b"), (2, "c")]
+    assert rows(operators.known_only(df, both.filter("k <> 2"), "k", scratch)) == [(1, "a"), (1, "b")]
 
 
-def test_known_rows_are_not_shuffled_for_a_large_dimension(spark, lines, scratch):
-    valid = scratch.cut(lines({}, {"invoice_no": "2"}), "valid")
-    product = scratch.cut(plans.build_dim_product(valid), "product")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_known_rows_are_not_shuffled_for_a_large_dimension(spark, scratch):
+    hot = "if(id % 3 = 0, 0, id)"
+    rows_ = scratch.cut(spark.range(30_000).selectExpr(f"{hot} AS k", "id"), "rows")
+    dimension = scratch.cut(spark.range(1, 30_000).selectExpr("id AS k"), "dimension")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
     try:
-        assert "Exchange" not in plan_of(plans.lookup_product(valid, product))
+        known = operators.known_only(rows_, dimension, "k", scratch)
+        assert "hashpartitioning" not in plan_of(known)
+        assert known.count() == 20_000
+        everything = operators.known_only(rows_, spark.range(0, 30_000).selectExpr("id AS k"), "k", scratch)
+        assert everything.count() == 30_000
+        none = operators.known_only(rows_, dimension.filter("k < 0"), "k", scratch)
+        assert none.isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -1,5 +1,6 @@
 from tillroll.operators.cleanse import (
     apply_defaults,
+    bad_timestamps,
     cast_strict,
     conform,
     normalize_nulls,
@@ -24,6 +25,7 @@ from tillroll.operators.ranking import dedupe, top_n_per_group
 __all__ = [
     "apply_defaults",
     "assign_dense_key",
+    "bad_timestamps",
     "cast_strict",
     "conform",
     "dedupe",

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import as_money, standard_text
 from tillroll.schemas import NULL_TOKENS, REQUIRED_KEYS, SHEET_HEADERS, TEXT_COLUMNS, Table
 from tillroll.session import require_strict_casts
 
+FULL_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?$"
+
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str] = SHEET_HEADERS) -> DataFrame:
     """The mapped columns under their new names, in mapping order, found by name.
@@ -38,6 +40,20 @@ def standardize_text(df: DataFrame, cols: Iterable[str] = TEXT_COLUMNS) -> DataF
     return df.withColumns({c: standard_text(c) for c in cols})
 
 
+def is_full_timestamp(column: str) -> Column:
+    """Whether a text is a whole date, with or without a time of day and without a zone.
+
+    Spark's own cast also takes a number for a year, a date without day, and drops a zone.
+    """
+    return F.col(column).rlike(FULL_TIMESTAMP)
+
+
+def bad_timestamps(df: DataFrame, column: str) -> DataFrame:
+    """Rows with a text that ``cast_strict`` refuses as a timestamp."""
+    fits = is_full_timestamp(column) & F.col(column).try_cast("timestamp_ntz").isNotNull()
+    return df.filter(F.col(column).isNotNull() & ~fits)
+
+
 def cast_strict(
     df: DataFrame, types: Mapping[str, str], timestamp_format: str | None = None
 ) -> DataFrame:
@@ -52,6 +68,11 @@ def cast_strict(
             return as_money(F.col(name))
         if to == "timestamp_ntz" and timestamp_format:
             return F.to_timestamp_ntz(name, F.lit(timestamp_format))
+        if to == "timestamp_ntz":
+            refused = F.raise_error(
+                F.concat(F.lit(f"[CAST_INVALID_INPUT] {name} is no full date: "), F.col(name))
+            )
+            return F.when(is_full_timestamp(name) | F.col(name).isNull(), F.col(name).cast(to)).otherwise(refused)
         return F.col(name).cast(to)
 
     return df.withColumns({name: cast(name, to) for name, to in types.items()})

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators.quality import fk_violations
+from tillroll.scratch import Scratch
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, take: Iterable[str] = ()) -> DataFrame:
@@ -19,23 +21,14 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, take: Iterable[str] =
     return df.join(dimension.select(key, *take), key)
 
 
-def known_only(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+def known_only(df: DataFrame, dimension: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """The rows whose key is in the dimension; nothing is taken from it.
 
-    A dimension below Spark's broadcast limit is joined. A larger one is compared with the
-    distinct keys first, which are few beside the rows: usually all are known, and the rows
-    need no shuffle.
+    The distinct keys, far fewer than the rows, are compared with the dimension, and those it
+    lacks are written down. The rows then lose these by an anti-join: as Spark knows how small
+    that list is, it usually needs no shuffle of the rows; where the list is long, it is an
+    ordinary join.
     """
-    keys = dimension.select(key)
-    if not fits_broadcast(keys):
-        unknown = fk_violations(df.select(key).distinct(), keys, {key: key})
-        if unknown.isEmpty():
-            return df.filter(df[key].isNotNull())
-    return df.join(keys, key, "left_semi")
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate is below its own limit for broadcasts."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    unknown = scratch.cut(fk_violations(keys, dimension.select(key), {key: key}), f"unknown-{key}")
+    return df.filter(F.col(key).isNotNull()).join(unknown, key, "left_anti")

@@ -16,14 +16,14 @@ def lookup_date_key(lines: DataFrame, dim_date: DataFrame) -> DataFrame:
     return lookup(lines, dim_date, "invoice_date", take=["invoice_date_id"])
 
 
-def lookup_product(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
+def lookup_product(lines: DataFrame, dim_product: DataFrame, scratch: Scratch) -> DataFrame:
     """Lines of known products; the code itself is the key."""
-    return known_only(lines, dim_product, "stock_code")
+    return known_only(lines, dim_product, "stock_code", scratch)
 
 
-def lookup_customer(lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def lookup_customer(lines: DataFrame, dim_customer: DataFrame, scratch: Scratch) -> DataFrame:
     """Lines of known customers; the number itself is the key."""
-    return known_only(lines, dim_customer, "customer_id")
+    return known_only(lines, dim_customer, "customer_id", scratch)
 
 
 def build_fact(
@@ -34,16 +34,20 @@ def build_fact(
     scratch: Scratch,
 ) -> DataFrame:
     """One row per valid line that all dimensions know, numbered in the order of the
-    duplicate keys. Give stored tables: each is read more than once."""
+    duplicate keys. Give stored tables: each is read more than once.
+
+    The lines are filtered first and numbered, and get their date key last, so that finding the
+    ranges of the numbering reads no join with dates. As the lines left have known times, that
+    join drops none and leaves no gap in the numbers.
+    """
     lines = valid.select(
         "invoice_no", "stock_code", "invoice_date", "quantity", "customer_id", "unit_price"
-    ).filter(F.col("invoice_date").isNotNull())
-    # The date comes last: it is the one join that may have to shuffle the lines.
-    lines = lookup_product(lines, dim_product)
-    lines = lookup_customer(lines, dim_customer)
-    lines = lookup_date_key(lines, dim_date)
+    )
+    lines = known_only(lines, dim_date, "invoice_date", scratch)
+    lines = lookup_product(lines, dim_product, scratch)
+    lines = lookup_customer(lines, dim_customer, scratch)
     order = [F.asc_nulls_last(c) for c in DEDUPE_KEYS]
-    numbered = assign_dense_key(lines, order, "fact_id", scratch)
+    numbered = lookup_date_key(assign_dense_key(lines, order, "fact_id", scratch), dim_date)
     return numbered.select(
         "fact_id",
         "invoice_no",

@@ -15,7 +15,8 @@ from tillroll.plans.fact import build_fact
 from tillroll.plans.staging import build_clean, build_raw, build_valid
 from tillroll.schemas import Table
 from tillroll.scratch import Scratch
-from tillroll.session import require_strict_casts
+from tillroll.session import require_session
+from tillroll.sources.audit import FAILED, SUCCESS
 from tillroll.sources.landing import read_landing
 from tillroll.sources.warehouse import Warehouse
 
@@ -26,30 +27,34 @@ class Batch:
     row_counts: dict[str, int] = field(default_factory=dict)
 
 
-def run_stage(
+def run_stages(
     warehouse: Warehouse,
-    table: Table,
     batch: Batch,
-    build: Callable[[], DataFrame],
+    builds: list[tuple[Table, Callable[[dict[str, DataFrame]], DataFrame]]],
     file_name: str | None = None,
     verify_keys: bool = True,
-) -> DataFrame:
-    """Load one table and publish it.
+) -> dict[str, DataFrame]:
+    """Load some tables, each from those before it, and publish all of them at once.
 
-    On an error the stage is logged as failed, the table keeps its former rows, and the error
-    goes on to the caller. Returns the table as written.
+    On an error the stages are logged as failed, all of these tables keep their former rows, and
+    the error goes on to the caller. Returns the tables as written, by name.
     """
-    stage = warehouse.log.start(table, batch.batch_id, file_name)
+    begun: list[tuple[Table, dict]] = []
+    written: dict[str, DataFrame] = {}
+    counts: list[int] = []
     try:
-        row_count = warehouse.write_snapshot(table, build(), batch.batch_id)
-        if verify_keys:
-            warehouse.check_keys(table, batch.batch_id, row_count)
-        warehouse.publish(table, stage, row_count)
+        for table, build in builds:
+            begun.append((table, warehouse.log.start(table, batch.batch_id, file_name)))
+            counts.append(warehouse.write_snapshot(table, build(written), batch.batch_id))
+            if verify_keys:
+                warehouse.check_keys(table, batch.batch_id, counts[-1])
+            written[table.name] = warehouse.read(table, batch.batch_id)
+        warehouse.publish([(t, s, n) for (t, s), n in zip(begun, counts, strict=True)])
     except Exception as error:
-        warehouse.fail(stage, error)
+        warehouse.fail(begun, error)
         raise
-    batch.row_counts[table.name] = row_count
-    return warehouse.read(table, batch.batch_id)
+    batch.row_counts.update({t.name: n for (t, _), n in zip(begun, counts, strict=True)})
+    return written
 
 
 def run_pipeline(
@@ -57,42 +62,59 @@ def run_pipeline(
     source: str | DataFrame,
     root: str,
     fmt: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool = False,
     timestamp_format: str | None = None,
     verify_keys: bool = True,
-    keep_snapshots: int | None = None,
+    keep_snapshots: int | None = 2,
+    take_over: bool = False,
 ) -> Batch:
     """Load all tables of the warehouse at ``root`` from the order sheets at ``source``.
 
-    ``source`` is a folder of files, or a DataFrame with the sheet's columns. Tables are
-    published one by one; after an error the later ones keep their former rows.
-    ``verify_keys`` also checks primary and foreign keys, which the plans already ensure, by
-    reading the written keys once more. ``keep_snapshots`` deletes older snapshots at the end.
+    ``source`` is a folder of files, or a DataFrame with the sheet's columns. Raw and staging
+    tables are published one by one; the four business tables, which refer to each other, all at
+    once and only after the fact is checked. ``verify_keys`` also checks primary and foreign
+    keys, which the plans already ensure, by reading the written keys once more. Snapshots but
+    for the ``keep_snapshots`` newest are deleted at the end (None keeps all). Only one batch
+    may be open: ``take_over`` ends one whose process died.
     """
-    require_strict_casts(spark)
+    require_session(spark)
     warehouse = Warehouse(spark, root)
     batch = Batch(str(uuid.uuid4()))
+    opened = warehouse.log.open_batch(batch.batch_id, take_over)
     scratch = Scratch(spark)
-
-    def stage(table: Table, build: Callable[[], DataFrame], file_name: str | None = None):
-        return run_stage(warehouse, table, batch, build, file_name, verify_keys)
+    file_name = source if isinstance(source, str) else None
 
     def landed() -> DataFrame:
         if isinstance(source, DataFrame):
             return source
         return read_landing(spark, source, fmt, multi_line=multi_line)
 
-    file_name = source if isinstance(source, str) else None
+    def stage(*builds, file_name: str | None = None) -> dict[str, DataFrame]:
+        return run_stages(warehouse, batch, list(builds), file_name, verify_keys)
+
     try:
-        raw = stage(schemas.RAW_ORDERS, lambda: build_raw(rename_columns(landed())), file_name)
-        clean = stage(schemas.ORDERS_CLEAN, lambda: build_clean(raw, timestamp_format))
-        valid = stage(schemas.ORDERS_VALID, lambda: build_valid(clean))
-        customer = stage(schemas.DIM_CUSTOMER, lambda: build_dim_customer(valid))
-        product = stage(schemas.DIM_PRODUCT, lambda: build_dim_product(valid))
-        date = stage(schemas.DIM_DATE, lambda: build_dim_date(valid, scratch))
-        stage(schemas.FACT_SALES, lambda: build_fact(valid, date, product, customer, scratch))
+        raw = stage((schemas.RAW_ORDERS, lambda _: build_raw(rename_columns(landed()))), file_name=file_name)
+        clean = stage((schemas.ORDERS_CLEAN, lambda _: build_clean(raw["raw_orders"], timestamp_format)))
+        valid = stage((schemas.ORDERS_VALID, lambda _: build_valid(clean["stg_orders_raw_clean"])))
+        lines = valid["stg_orders_valid"]
+        stage(
+            (schemas.DIM_CUSTOMER, lambda _: build_dim_customer(lines)),
+            (schemas.DIM_PRODUCT, lambda _: build_dim_product(lines)),
+            (schemas.DIM_DATE, lambda _: build_dim_date(lines, scratch)),
+            (
+                schemas.FACT_SALES,
+                lambda done: build_fact(lines, done["dim_date"], done["dim_product"], done["dim_customer"], scratch),
+            ),
+        )
+    except Exception as error:
+        warehouse.log.finish(opened, FAILED, error_message=str(error))
+        if fmt == "csv" and file_name and not multi_line and "MALFORMED" in str(error):
+            hint = "a CSV row has too few or too many cells; if cells hold line breaks, read with multi_line"
+            raise ValueError(hint) from error
+        raise
     finally:
         scratch.clear()
+    warehouse.log.finish(opened, SUCCESS)
     if keep_snapshots:
         warehouse.drop_old_snapshots(keep_snapshots)
     return batch

@@ -32,6 +32,8 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", NULL_MARKER,
 )
 
+# Layers whose loads are logged.
+LOG_LAYERS = ("raw", "staging", "business")
 LAYERS = ("raw", "staging", "business", "marts", "audit")
 
 REQUIRED_KEYS = ("customer_id", "invoice_no", "stock_code")
@@ -104,6 +106,7 @@ class Table:
         return {c.name: c.max_length for c in self.columns if c.max_length}
 
 
+# Fixed values, down to LOAD_EVENTS: names, types and lengths of the columns of all tables.
 INGESTION_TS = Column("ingestion_ts", "timestamp_ntz")
 
 _TYPED_ORDER = (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,12 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """A folder of its own for the intermediate tables of one job."""
+    """A folder of its own for the intermediate tables of one job.
+
+    What nobody has cleared by then goes when the driver's Python ends: the result of a query
+    may read its folder until that time.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/tillroll-{uuid.uuid4()}"
         self._tables = 0
+        atexit.register(self._clear_at_exit)
 
     def new_path(self, name: str) -> str:
         self._tables += 1
@@ -46,8 +53,13 @@ class Scratch:
 
     def clear(self) -> None:
         """Delete this job's folder, and nothing else."""
+        atexit.unregister(self._clear_at_exit)
         delete_folder(self.spark, self.path)
 
+    def _clear_at_exit(self) -> None:
+        if self._tables and SparkContext._active_spark_context is not None:
+            delete_folder(self.spark, self.path)
+
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
