@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, scratch: Scratch, weights=WEIGHTS, share=SH
 
 def _threshold(rows: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """(none, source, limit, words): the documents of ``rows`` with a hash below ``limit`` hold
-    ``words`` words, and those up to it at least the ``wanted`` ones, if the source has them.
+    ``words`` words, no more than ``wanted``; with the next one they would hold more.
 
     Level by level, the words before the bucket in which the budget ends are settled, and only
     that bucket is divided further, until it is one hash value.
@@ -82,7 +82,7 @@ def _threshold(rows: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFram
         upto = F.sum("own").over(Window.partitionBy(*_SOURCE).orderBy("bucket"))
         summed = histogram.withColumn("upto", upto).join(state, _SOURCE)
         boundary = (
-            summed.filter(F.col("words") + F.col("upto") >= F.col("wanted"))
+            summed.filter(F.col("words") + F.col("upto") > F.col("wanted"))
             .groupBy(*_SOURCE)
             .agg(F.min(F.struct("bucket", "upto", "own", "lo", "hi")).alias("b"))
         )
