@@ -21,7 +21,7 @@ from tillroll.llm.common import hash_sample
 
 BUCKET_BITS = 17
 CHAIN = 64
-PIECE_CHARS = 400_000  # how much of a long text is in memory at once
+PIECE_CHARS = 200_000  # how much of a long text is in memory at once
 UNKNOWN = "und"
 
 # Training sample: bounded, whatever the size of the corpus.
