@@ -338,3 +338,36 @@ def decontamination_query(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# Windows as lists of words, matched as they are; words covered by any match are counted once.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[i:i + least(len(w), 10) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, i, s.n, w[i:i + s.n - 1] AS g
+  FROM (SELECT DISTINCT n FROM windows) s,
+       LATERAL (SELECT doc_id, w, unnest(range(1, len(w) - s.n + 2)) AS i FROM d WHERE len(w) >= s.n)
+), hits AS (
+  SELECT doc_id, i, p.n, item_id FROM places p JOIN windows v ON p.n = v.n AND p.g = v.g
+), words AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.ann import ann_query
-from tillroll.llm.decontaminate import decontamination_query
+from tillroll.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from tillroll.llm.language import language_query
 from tillroll.llm.licenses import license_query
 from tillroll.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 from tillroll.llm.mixing import mixing_query
-from tillroll.llm.near_dup import near_dup_query
+from tillroll.llm.near_dup import NEAR_DUP_SQL, near_dup_query
 from tillroll.llm.quality import quality_query
 from tillroll.llm.secret_scan import secret_query
 from tillroll.llm.suffix_dedup import suffix_dedup_query
@@ -31,5 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_near_dup": NEAR_DUP_SQL,
+    "op3_decontamination": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
 }
