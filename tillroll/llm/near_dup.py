@@ -13,6 +13,7 @@ are looked at, so a large group of near copies costs no square of its size.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,7 +193,9 @@ def _candidates(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
                 a, b = a[a < b], b[a < b]
                 apart = (label[a] != label[b]).any(1)
                 a, b = a[apart], b[apart]
-                alike = (sketch[a] == sketch[b]).sum(1) >= least
+                alike = np.concatenate(
+                    [(sketch[a[k : k + PAIRS]] == sketch[b[k : k + PAIRS]]).sum(1) >= least for k in range(0, max(len(a), 1), PAIRS)]
+                )
                 a, b = a[alike], b[alike]
                 found[a] = found[b] = True
                 while (head[a] != head[b]).any():
@@ -260,6 +263,22 @@ def _selected(tree: int, percent: int) -> list[int]:
     return [int(i) for i in chosen] or [int(draws.argmin())]
 
 
+def _places(percent: int) -> int:
+    """Token places of all roots: so many nodes every class is in at first."""
+    return sum(len(_selected(t, percent)) for t in range(TREES))
+
+
+def _most_differences(places: int, percent: int) -> int:
+    """So many of the places, or more, differ in a pair at the threshold only in one of ten
+    thousand such pairs."""
+    differ, tail = 1 - percent / 100, 1.0
+    for k in range(places + 1):
+        if tail <= 1e-4:
+            return k
+        tail -= math.comb(places, k) * differ**k * (1 - differ) ** (places - k)
+    return places
+
+
 def _first_nodes(classes: DataFrame, percent: int) -> DataFrame:
     nodes = [
         F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.lit(i), F.element_at("tokens", i + 1)).alias("node"))
@@ -282,26 +301,26 @@ def _branched(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed_nodes(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with more than one label, with the number of rows of the node."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return rows.join(sizes.filter("lo <> hi").select("node", "n"), "node")
+    """Rows of nodes with more than one label, with the number of rows of the node, and of those
+    that do not have its main label."""
+    labels = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"))
+    sizes = labels.groupBy("node").agg(
+        F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
+    )
+    mixed = sizes.filter("labels > 1").select("node", "n", (F.col("n") - F.col("main.k")).alias("minor"), F.col("main.label").alias("main"))
+    return rows.join(mixed, "node")
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """Large nodes as small ones: blocks of minor labels with each other and with every block of
     the node's main label, which is linked within itself already."""
-    rows = rows.drop("n")
-    labels = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = labels.groupBy("node").agg(
-        F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("all")
-    )
     per_block = NODE_CLASSES // 4
     count = lambda k: F.greatest(F.lit(1), F.ceil(k / per_block)).cast("int")
-    sides = rows.join(main, "node").select(
+    sides = rows.select(
         "tree", "node", "class", "label",
-        (F.col("label") == F.col("m.label")).alias("major"),
-        count(F.col("all") - F.col("m.k")).alias("minors"),
-        count(F.col("m.k")).alias("majors"),
+        (F.col("label") == F.col("main")).alias("major"),
+        count(F.col("minor")).alias("minors"),
+        count(F.col("n") - F.col("minor")).alias("majors"),
     )
     own = F.when(F.col("major"), F.pmod(F.xxhash64("class"), F.col("majors"))).otherwise(
         F.pmod(F.xxhash64("class"), F.col("minors"))
@@ -323,18 +342,24 @@ def _blocks(rows: DataFrame) -> DataFrame:
 def _branch_candidates(
     large: DataFrame, classes: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch
 ) -> DataFrame:
-    """Candidates from large nodes: they branch until they are small or hold one label."""
+    """Candidates from large nodes. They branch until they are small or hold one label; those
+    with few members beside the main label have them compared with all others at once, which is
+    less than a level of branches."""
     found = None
     for depth in range(DEPTH + 1):
         rows = scratch.cut(_mixed_nodes(large.select("tree", "node", "class", "label")), "large")
-        last = depth == DEPTH
-        leaves = _blocks(rows) if last else rows.filter(F.col("n") <= NODE_CLASSES)
+        small = F.col("n") <= NODE_CLASSES
+        direct = small if depth < DEPTH else F.lit(False)
+        deeper = ~small & (F.col("minor") > NODE_CLASSES // 4) if depth < DEPTH else F.lit(False)
+        leaves = rows.filter(direct).select("tree", "node", "class", "label")
+        leaves = leaves.unionByName(_blocks(rows.filter(~direct & ~deeper)))
         picked = scratch.cut(_candidates(leaves, sketches, percent), "leaves")
         found = picked if found is None else found.unionByName(picked)
-        rest = rows.filter(F.col("n") > NODE_CLASSES)
-        if last or rest.isEmpty():
+        rest = rows.filter(deeper)
+        if rest.isEmpty():
             return found
         large = _branched(rest, classes, percent)
+    return found
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -412,9 +437,15 @@ def near_duplicates(
     sketches = classes.select("class", "sketch")
     nodes = _first_nodes(classes, min_percent)
     sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = scratch.cut(sizes, "sizes")
     members = scratch.cut(_labelled(nodes.join(sizes, "node"), None, scratch), "members")
     found = _candidates(members.filter(F.col("n") <= NODE_CLASSES), sketches, min_percent)
     large = members.filter(F.col("n") > NODE_CLASSES)
+    # Whoever is in so few large nodes meets every similar class in a small one.
+    places = _places(min_percent)
+    enough = places - _most_differences(places, min_percent)
+    often = large.groupBy("class").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > enough)
+    large = scratch.cut(large.join(often.drop("k"), "class", "left_semi"), "large-nodes")
     if large.isEmpty():
         candidates = scratch.cut(found, "candidates")
         sets = scratch.cut(_sets(docs, classes, candidates.select("class"), shingle_words), "sets")
@@ -479,3 +510,32 @@ def near_dup_query(spark: SparkSession, folder: str) -> DataFrame:
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
     )
+
+
+# All pairs that share a shingle, counted; components by following the links.
+NEAR_DUP_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, w[i:i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n
+  HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM d
+  UNION
+  SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), roots AS (
+  SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM roots LEFT JOIN sizes USING (doc_id)
+"""
