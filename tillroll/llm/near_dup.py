@@ -30,10 +30,11 @@ MIN_PERCENT = 80
 TOKENS = 64
 FIRST_TREES = 2  # to link the bulk of each group
 TREES = 18  # all of them
-NODE_CLASSES = 400  # a node up to this size is compared exhaustively
+NODE_CLASSES = 3_000  # a node up to this size is compared exhaustively
+BULK_CLASSES = 300  # nodes up to this size are compared many at a time
 DEPTH = 3  # levels below which a node that is still large is compared in blocks
 PIECE_BYTES = 1 << 20
-PAIRS = 300_000  # pairs of sketches compared at once
+PAIRS = 150_000  # pairs of sketches compared at once
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -184,9 +185,10 @@ def _candidates(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
             sizes = np.diff(starts)
             found, head = np.zeros(len(frame), bool), np.arange(len(frame))
             # All pairs of whole groups, so many at a time.
-            lots = np.cumsum(sizes.astype(np.int64) ** 2) // PAIRS
+            bulk = np.where(sizes <= BULK_CLASSES, sizes, 0)
+            lots = np.cumsum(bulk.astype(np.int64) ** 2) // PAIRS
             for first, last in _ranges(lots):
-                size = np.repeat(sizes[first:last], sizes[first:last])
+                size = np.repeat(bulk[first:last], sizes[first:last])
                 start = np.repeat(starts[first:last], sizes[first:last])
                 a = np.repeat(np.arange(starts[first], starts[last]), size)
                 b = np.arange(len(a)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
@@ -202,6 +204,16 @@ def _candidates(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
                     lower = np.minimum(head[a], head[b])
                     np.minimum.at(head, a, lower)
                     np.minimum.at(head, b, lower)
+            for start, end in zip(starts[:-1][sizes > BULK_CLASSES].tolist(), starts[1:][sizes > BULK_CLASSES].tolist(), strict=True):
+                own = head[start:end]  # a view
+                for i in range(start, end - 1):
+                    apart = (label[i + 1 : end] != label[i]).any(1)
+                    near = i + 1 + np.flatnonzero(apart & ((sketch[i + 1 : end] == sketch[i]).sum(1) >= least))
+                    if len(near):
+                        found[i] = found[near] = True
+                        joined = np.unique(head[np.append(near, i)])
+                        if len(joined) > 1:
+                            own[np.isin(own, joined)] = joined[0]
             if found.any():
                 other = frame["class"].to_numpy()[head[found]]
                 yield frame.loc[found, ["tree", "node", "class", "label"]].assign(other=other)
@@ -314,7 +326,7 @@ def _mixed_nodes(rows: DataFrame) -> DataFrame:
 def _blocks(rows: DataFrame) -> DataFrame:
     """Large nodes as small ones: blocks of minor labels with each other and with every block of
     the node's main label, which is linked within itself already."""
-    per_block = NODE_CLASSES // 4
+    per_block = max(1, NODE_CLASSES // 4)
     count = lambda k: F.greatest(F.lit(1), F.ceil(k / per_block)).cast("int")
     sides = rows.select(
         "tree", "node", "class", "label",
