@@ -8,8 +8,9 @@
 3. Suffix sort. The classes of one anchor are compared at the offsets where they differ: their
    suffixes are merge-sorted, a comparison being a binary search over prefix polynomial hashes
    for the common extension. Neighbours with ``LENGTH`` bytes in common are repeated, as far as
-   they go on; every such run is verified byte by byte. Anchors with very many classes have
-   their windows counted by 128-bit hash instead, in rows that are combined before the shuffle.
+   they go on; every such run is verified byte by byte. Anchors with hundreds of classes have
+   their windows compared by 128-bit hash instead, which takes time in proportion to their number;
+   beyond what one task should hold, in rows that Spark counts.
 
 Texts are matched by content key, so copies of a whole text are told apart by their number only.
 """
@@ -31,7 +32,8 @@ from tillroll.scratch import Scratch
 LENGTH = 400
 GRAM = 64
 PIECE = 1 << 18  # windows of a long text that are hashed at once
-GROUP_CLASSES = 192  # classes of an anchor that are sorted in one task
+SORT_CLASSES = 192  # classes of an anchor whose suffixes are sorted
+GROUP_CLASSES = 16_384  # classes of an anchor that one task compares
 LOT_BYTES = 1 << 20  # contexts that are sorted at once
 _PLACE_BITS = 20  # of a place within a piece
 
@@ -290,7 +292,11 @@ def _sort_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _sort_lot(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    frame = pd.concat(frames, ignore_index=True).drop_duplicates(CLASS, ignore_index=True)
+    every = pd.concat(frames, ignore_index=True).drop_duplicates(CLASS, ignore_index=True)
+    many = every.groupby("anchor")["anchor"].transform("size") > SORT_CLASSES
+    for _, group in every[many].groupby("anchor"):
+        yield _with_runs(group, _equal_windows(group))
+    frame = every[~many].reset_index(drop=True)
     if not len(frame):
         return
     wanted = (frame["n"] == 1).to_numpy()
@@ -301,20 +307,52 @@ def _sort_lot(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             break
         except _Collision:
             seed += 1
+    yield _with_runs(frame, found)
+
+
+def _with_runs(frame: pd.DataFrame, found: list[list[tuple[int, int]]]) -> pd.DataFrame:
     out = frame[CLASS].copy()
     out["runs"] = [[{"lo": a, "hi": b} for a, b in runs] for runs in found]
-    yield out[[bool(runs) for runs in found]]
+    return out[[bool(runs) for runs in found]]
 
 
-def _windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _window_hashes(context: bytes, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of every window of a context, by falling offset."""
+    data, starts = np.frombuffer(context, np.uint8), np.arange(hi - lo + 1)
+    return _Hashes(data, 1).of(starts, LENGTH), _Hashes(data, 2).of(starts, LENGTH)
+
+
+def _equal_windows(group: pd.DataFrame) -> list[list[tuple[int, int]]]:
+    """For the single classes of one anchor, the offsets (from, to) of windows that occur in
+    another class."""
+    lo, hi = group["lo"].to_numpy(np.int64), group["hi"].to_numpy(np.int64)
+    hashes = [_window_hashes(c, a, b) for c, a, b in zip(group["context"], lo, hi, strict=True)]
+    first, second = (np.concatenate(h) for h in zip(*hashes, strict=True))
+    size = hi - lo + 1
+    member = np.repeat(np.arange(len(group)), size)
+    offset = np.repeat(hi + np.cumsum(size) - size, size) - np.arange(len(member))
+    order = np.lexsort((second, first, offset))
+    same = np.ones(len(order) - 1, bool)
+    for column in (offset, first, second):
+        same &= column[order[1:]] == column[order[:-1]]
+    repeated = np.zeros(len(order), bool)
+    repeated[order[1:][same]] = True
+    repeated[order[:-1][same]] = True
+    repeated &= (group["n"].to_numpy() == 1)[member]
+    # Windows stand by member and falling offset, so runs are neighbours.
+    at = np.flatnonzero(repeated)
+    found: list[list[tuple[int, int]]] = [[] for _ in range(len(group))]
+    if len(at):
+        cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(member[at]) > 0)) + 1
+        for a, b in zip(at[np.concatenate(([0], cut))], at[np.append(cut, len(at)) - 1], strict=True):
+            found[member[a]].append((int(offset[b]), int(offset[a])))
+    return found
+
+
+def _windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        first, second = [], []
-        for context, lo, hi in zip(frame["context"], frame["lo"], frame["hi"], strict=True):
-            data = np.frombuffer(context, np.uint8)
-            starts = np.arange(hi - lo + 1)
-            first.append(_Hashes(data, 1).of(starts, LENGTH).view(np.int64))
-            second.append(_Hashes(data, 2).of(starts, LENGTH).view(np.int64))
+        hashes = [_window_hashes(*x) for x in zip(frame["context"], frame["lo"], frame["hi"], strict=True)]
+        first, second = ([h[k].view(np.int64) for h in hashes] for k in (0, 1))
         yield frame[[*CLASS, "n"]].assign(first=first, second=second)
 
 
@@ -342,6 +380,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     long = texts.filter(F.octet_length("text") >= LENGTH)
     found = scratch.cut(long.mapInPandas(_find_anchors, ANCHORS), "anchors")
     repeated = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written first: between two plain shuffles, Spark can split the rows of a hot anchor.
+    repeated = scratch.cut(repeated, "repeated")
     shared = scratch.cut(found.join(repeated, "anchor", "left_semi"), "shared")
     head = F.min(F.struct("key", "place"))
     classes = scratch.cut(shared.groupBy(*CLASS).agg(F.count(F.lit(1)).alias("n"), head.alias("head")), "classes")
