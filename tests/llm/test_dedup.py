@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 
 from tests.conftest import rows
@@ -117,6 +118,8 @@ def test_near_dup_of_large_nodes(spark, scratch, monkeypatch):
     base = [f"w{i}" for i in range(120)]
     docs = [(i, edited(rng, base, 0.012)) for i in range(90)]
     docs += [(100 + i, edited(rng, base[:100] + [f"v{i}" for i in range(60)], 0.004)) for i in range(40)]
+    more = docs + [(1000 + i, edited(rng, base, 0.012)) for i in range(320)]
+    assert near_rows(spark, scratch, more, 3, 85) == brute_near(more, 3, 85)
     monkeypatch.setattr(near_dup, "NODE_CLASSES", 12)
     assert near_rows(spark, scratch, docs, 3, 85) == brute_near(docs, 3, 85)
 
@@ -179,13 +182,33 @@ def passages(seed):
     return docs + [(None, docs[3][1]), (55, None), (56, ""), (57, "é" * 300)]
 
 
-@pytest.mark.parametrize("classes", [192, 2])
+@pytest.mark.parametrize("classes", [16_384, 2])
 def test_suffix_dedup_equals_brute_force(spark, scratch, monkeypatch, classes):
     monkeypatch.setattr(suffix_dedup, "GROUP_CLASSES", classes)
     docs = passages(classes)
     assert suffix_rows(spark, scratch, docs) == brute_bytes(docs)
 
 
+def test_both_ways_to_compare_classes_agree():
+    """The suffix sort, and the hashes of windows, on the contexts of one anchor."""
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcd") for _ in range(900))
+    frame = []
+    for i in range(40):
+        changed = list(text)
+        for _ in range(rng.randint(0, 3)):
+            changed[rng.randint(0, 899)] = "#"
+        lo, hi = sorted((rng.randint(0, 336), rng.randint(0, 336)))
+        context = "".join(changed)[400 - hi : 400 - lo + suffix_dedup.LENGTH].encode()
+        frame.append((1, lo, hi, str(i).encode(), 1 + (i % 7 == 0), context))
+    group = pd.DataFrame(frame, columns=["anchor", "lo", "hi", "region", "n", "context"])
+    sorted_runs = suffix_dedup._Lot(group, 0).repeated((group["n"] == 1).to_numpy())
+    hashed = suffix_dedup._equal_windows(group)
+    offsets = lambda runs: sorted({d for a, b in runs for d in range(a, b + 1)})
+    assert [offsets(r) for r in sorted_runs] == [offsets(r) for r in hashed]
+    assert any(hashed)
+
+
 def test_suffix_dedup_of_long_texts_and_small_lots(spark, scratch):
     rng = random.Random(9)
     body = "".join(rng.choice("abcdefgh") for _ in range(700_000))
