@@ -234,3 +234,17 @@ def test_copies_do_not_hide_other_neighbours(spark, scratch):
     got = rows(ann.nearest(table, F.col("vec_id").isin(0, 1000), scratch))
     assert [r[2] for r in sorted(got) if r[0] == 0] == list(range(1, 11))
     assert len([r for r in got if r[0] == 1000]) == 10
+
+
+def test_joins_go_on_until_the_graph_is_whole(spark, scratch, monkeypatch):
+    """From blocks that hardly say anything, as in a table far beyond the size of a block."""
+    for name, value in (("BLOCK", 34), ("TABLES", 2), ("PLANES", 3)):
+        monkeypatch.setattr(ann, name, value)
+    matrix = np.random.default_rng(2).normal(size=(6000, 12)).astype(np.float32)
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(matrix)], "node long, packed binary")
+    graph = ann.neighbour_graph(nodes, 12, scratch).toPandas()
+    squared = ((matrix[::50, None] - matrix[None]) ** 2).sum(2)
+    squared[np.arange(120), np.arange(0, 6000, 50)] = np.inf
+    truth = {50 * i: set(np.argsort(row)[: ann.NEIGHBOURS].tolist()) for i, row in enumerate(squared)}
+    near = graph.groupby("node")["near"].agg(set)
+    assert np.mean([len(near[i] & t) / len(t) for i, t in truth.items()]) > 0.99
