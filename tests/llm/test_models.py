@@ -56,6 +56,21 @@ def test_language_edges(spark, documents, model):
     assert {r["lang_pred"] for r in language.identify_language(docs, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    data = []
+    for i in range(70):
+        words = ["".join(rng.choice(letters, 6)) for _ in range(25)]
+        data += [(" ".join(rng.choice(words, 60)), f"l{i:02d}") for _ in range(4 if i < 64 else 2)]
+    docs = spark.createDataFrame(data, "text string, lang string")
+    found = language.identify_language(docs, language.fit(docs))
+    assert found.filter("lang <> lang_pred").count() == 0
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 69)
+    with pytest.raises(ValueError, match="69"):
+        language.fit(docs)
+
+
 # -- secrets -----------------------------------------------------------------------------------
 
 PATTERNS = (

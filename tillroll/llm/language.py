@@ -24,10 +24,13 @@ CHAIN = 64
 PIECE_CHARS = 200_000  # how much of a long text is in memory at once
 UNKNOWN = "und"
 
-# Training sample: bounded, whatever the size of the corpus.
-TRAIN_DOCS_PER_LANGUAGE = 150
+# Training sample: bounded, whatever the size of the corpus. Every language takes part; beyond
+# MANY_LANGUAGES each has fewer documents, and more than MAX_LANGUAGES are an error, because the
+# weights no longer fit the driver.
+TRAIN_DOCS_PER_LANGUAGE, LEAST_DOCS_PER_LANGUAGE = 150, 8
 TRAIN_CHAINS_PER_DOC = 12
-MAX_LANGUAGES = 64
+TRAIN_CELLS = 4_000_000  # words times languages in memory at once
+MANY_LANGUAGES, MAX_LANGUAGES = 16, 256
 ROUNDS = 14
 RATE = 0.35
 
@@ -160,9 +163,12 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
         pieces += [cuts[i] for i in sorted(keep)]
     order = np.concatenate([pieces[i] for i in random.permutation(len(pieces))])
     chain_of = np.arange(len(order)) // CHAIN
-    row, column, chains = _chains(chain_of)
-    kept = _take(words, order)
     truth = truth[order]
+    lots = []
+    size = max(1, TRAIN_CELLS // (CHAIN * len(languages))) * CHAIN
+    for start in range(0, len(order), size):
+        part = slice(start, start + size)
+        lots.append((truth[part], _take(words, order[part]), _chains(chain_of[part])))
     same_chain = chain_of[1:] == chain_of[:-1]
     seen = np.zeros((len(languages),) * 2)
     np.add.at(seen, (truth[:-1][same_chain], truth[1:][same_chain]), 1)
@@ -171,15 +177,19 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
     transitions = np.zeros((len(languages),) * 2)
     steps, moved = np.full_like(weights, 1e-6), np.full_like(transitions, 1e-6)
     for _ in range(ROUNDS):
-        chance, expected = _forward_backward(_emissions(kept, weights), row, column, chains, transitions)
-        error = -chance
-        error[np.arange(len(truth)), truth] += 1
-        spread = np.repeat(np.arange(len(truth)), kept.lengths)
-        for label in range(len(languages)):
-            own = error[:, label]
-            gradient = np.bincount(kept.trigrams, own[spread], 1 << BUCKET_BITS)
-            for kind in range(kept.features.shape[1]):
-                gradient += np.bincount(kept.features[:, kind], own, 1 << BUCKET_BITS)
+        gradients, expected = np.zeros(weights.shape[::-1]), np.zeros_like(transitions)
+        for labelled, kept, (row, column, chains) in lots:
+            chance, moves = _forward_backward(_emissions(kept, weights), row, column, chains, transitions)
+            expected += moves
+            error = -chance
+            error[np.arange(len(labelled)), labelled] += 1
+            spread = np.repeat(np.arange(len(labelled)), kept.lengths)
+            for label in range(len(languages)):
+                own = error[:, label]
+                gradients[label] += np.bincount(kept.trigrams, own[spread], 1 << BUCKET_BITS)
+                for kind in range(kept.features.shape[1]):
+                    gradients[label] += np.bincount(kept.features[:, kind], own, 1 << BUCKET_BITS)
+        for label, gradient in enumerate(gradients):
             steps[:, label] += gradient**2
             weights[:, label] += RATE * gradient / np.sqrt(steps[:, label])
         gradient = seen - expected
@@ -201,15 +211,15 @@ def _take(words: _Words, order: np.ndarray) -> _Words:
     return _Words(trigrams, offsets, lengths, words.features[order], words.text[order])
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """Texts in lots of bounded size; a long text comes in several lots, cut at blanks."""
+def _pieces(texts: list[str], chars: int) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts in lots of about ``chars``; a long text comes in several lots, cut at blanks."""
     numbers: list[int] = []
     lot: list[str] = []
     size = 0
     for i, text in enumerate(texts):
         start = 0
         while start < len(text):
-            end = start + PIECE_CHARS
+            end = start + chars
             if end < len(text):
                 blank = text.find(" ", end, end + 1000)
                 end = blank if blank > 0 else end
@@ -217,7 +227,7 @@ def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
             lot.append(text[start:end])
             size += len(lot[-1])
             start = end
-            if size >= PIECE_CHARS:
+            if size >= chars:
                 yield numbers, lot
                 numbers, lot, size = [], [], 0
     if lot:
@@ -229,7 +239,8 @@ def word_shares(texts: list[str], model: LanguageModel) -> np.ndarray:
     shares = np.zeros((len(texts), len(model.languages)))
     if not model.languages:
         return shares
-    for numbers, lot in _pieces(texts):
+    chars = PIECE_CHARS * MANY_LANGUAGES // max(MANY_LANGUAGES, len(model.languages))
+    for numbers, lot in _pieces(texts, chars):
         words = _words(lot)
         if len(words.offsets):
             scores = _emissions(words, model.weights)
@@ -239,12 +250,19 @@ def word_shares(texts: list[str], model: LanguageModel) -> np.ndarray:
 
 
 def sample_for_training(docs: DataFrame, usable=None) -> DataFrame:
-    """At most ``TRAIN_DOCS_PER_LANGUAGE`` labelled texts of each language, chosen by hash."""
+    """At most ``TRAIN_DOCS_PER_LANGUAGE`` labelled texts of every language, chosen by hash; fewer
+    of each, if there are more than ``MANY_LANGUAGES``."""
     rows = docs.select("text", "lang", *([usable.alias("_ok")] if usable is not None else []))
     rows = rows.filter("text is not null and lang is not null")
     if usable is not None:
         rows = rows.filter("_ok")
-    return hash_sample(rows, F.xxhash64("text"), ["lang"], TRAIN_DOCS_PER_LANGUAGE, MAX_LANGUAGES).select("text", "lang")
+    languages = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different values of lang; none is left out, so map them to fewer")
+    size = TRAIN_DOCS_PER_LANGUAGE
+    if languages > MANY_LANGUAGES:
+        size = max(LEAST_DOCS_PER_LANGUAGE, size * MANY_LANGUAGES // languages)
+    return hash_sample(rows, F.xxhash64("text"), ["lang"], size, MAX_LANGUAGES).select("text", "lang")
 
 
 def fit(docs: DataFrame, usable=None) -> LanguageModel:
