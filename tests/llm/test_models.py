@@ -192,6 +192,30 @@ def test_licenses_and_their_directories(spark, scratch):
     assert licenses.scan_licenses(files.limit(0), scratch).count() == 0
 
 
+def test_wrapped_notices_whole_texts_and_long_lines(spark, scratch):
+    notice = """
+ * This {what} is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU {name} as published by
+ * the Free Software Foundation; either version {version} of the License, or
+ * (at your option) any later version.
+"""
+    prose = "some words of prose that go on for a while and do not say much " * 6
+    bsd = licenses._BSD.replace(" in source", "\nin source").replace("provided", "\nprovided")
+    data = [
+        ("GPL-2.0", notice.format(what="program", name="General Public License", version=2) + prose),
+        ("LGPL-3.0", notice.format(what="library", name="Lesser General Public License", version=3) + prose),
+        ("Apache-2.0", "                Apache License\n          Version 2.0, January 2004\n\n" + prose),
+        ("BSD-2-Clause", f"Copyright 2001 Some One\n\n{bsd}\n{licenses._BSD_1_2}\n{licenses._AS_IS}"),
+        ("BSD-3-Clause", f"Copyright 2001 Some One\n\n{bsd}\n{licenses._BSD_1_2}\n{licenses._BSD_3}\n{licenses._AS_IS}"),
+        ("Apache-2.0", f"{prose}. Licensed under the Apache License, Version 2.0. {prose}"),
+        ("Apache-2.0", f"{prose} licensed under the Apache License, Version 2.0 {prose}"),
+        (None, prose),
+    ]
+    files = spark.createDataFrame([(f"d{i}/{i}.txt", t, i) for i, (_, t) in enumerate(data)], "path string, text string, at int")
+    found = licenses.scan_licenses(files, scratch).orderBy("at").collect()
+    assert [r["license"] for r in found] == [wanted for wanted, _ in data]
+
+
 def test_license_lines_of_the_documents(spark, documents):
     found = {r["doc_id"]: r for r in licenses.license_query(spark, FOLDER).collect()}
     wanted = {"Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
