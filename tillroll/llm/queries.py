@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.alignment import alignment_query
 from tillroll.llm.ann import ann_query
 from tillroll.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from tillroll.llm.language import language_query
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_query,
     "op9_language_id": language_query,
     "op10_suffix_dedup": suffix_dedup_query,
+    "op13_alignment": alignment_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
