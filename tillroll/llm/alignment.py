@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -32,7 +32,7 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Texts are encoded in chunks of about so many characters, cut where neither tokenizer joins.
 CHUNK_CHARS = 1 << 14
 # Tokens that one batch of rows holds, but for a single longer text.
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 19
 SPACE_MARK = "▁"
 
 # Fixed value: how byte-level tokenizers of this kind cut a text before merging.
@@ -59,13 +59,10 @@ class Tokenizers:
     def __init__(self, a_file: bytes, b_file: bytes):
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
         spec = json.loads(a_file)
         vocabulary, letters = spec["model"]["vocab"], _byte_letters()
         special = {t["content"] for t in spec["added_tokens"]}
-        self._a = Tokenizer.from_str(a_file.decode())
-        self._a.encode_special_tokens = True
         entries = {
             number: bytes(letters[c] for c in entry) for entry, number in vocabulary.items() if entry not in special
         }
@@ -78,9 +75,10 @@ class Tokenizers:
         ranked = plain and all(x < y for x, y in zip(numbers, numbers[1:], strict=False))
         self._ranks = (
             tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks={b: n for n, b in entries.items()}, special_tokens={})
-            if ranked and len(set(entries.values())) == len(entries)
+            if ranked and len(set(entries.values())) == len(entries) and all(bytes([n]) in entries.values() for n in range(256))
             else None
         )
+        self._file, self._slow = a_file.decode(), None
         self._b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         pieces = [self._b.id_to_piece(n) for n in range(self._b.get_piece_size())]
         self.b_bytes = [
@@ -94,6 +92,15 @@ class Tokenizers:
         self.a_lengths = np.array([len(x) for x in self.a_bytes])
         self.b_lengths = np.array([len(x) for x in self.b_bytes])
 
+    def _merged(self, text: str) -> list[int]:
+        """A's ids of a text by its merges, one after the other; only loaded where ranks won't do."""
+        from tokenizers import Tokenizer
+
+        if self._slow is None:
+            self._slow = Tokenizer.from_str(self._file)
+            self._slow.encode_special_tokens = True
+        return self._slow.encode(text, add_special_tokens=False).ids
+
     def _chunks(self, text: str) -> Iterator[str]:
         start = 0
         while self._cuts and len(text) - start > CHUNK_CHARS:
@@ -116,11 +123,12 @@ class Tokenizers:
             if self._ranks is not None and len(chunk) <= 2 * CHUNK_CHARS:
                 a += self._ranks.encode_ordinary(" " + chunk)
             else:
-                a += self._a.encode(" " + chunk, add_special_tokens=False).ids
+                a += self._merged(" " + chunk)
             b += self._b.encode(chunk)
         whole = b" " + text.encode()
-        for ids, entries in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join(map(entries.__getitem__, ids)) != whole:
+        # Ranks that hold every byte give back what they are given.
+        for ids, entries, sure in ((a, self.a_bytes, self._ranks is not None), (b, self.b_bytes, False)):
+            if not sure and b"".join(map(entries.__getitem__, ids)) != whole:
                 return [], []
         return a, b
 
@@ -175,8 +183,8 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 def _aligned_batch(both: Tokenizers, ids: list, tokens: list[tuple[list[int], list[int]]]) -> pa.RecordBatch:
     n_a = np.array([len(a) for a, _ in tokens], np.int64)
     n_b = np.array([len(b) for _, b in tokens], np.int64)
-    a = np.fromiter((x for t in tokens for x in t[0]), np.int64, n_a.sum())
-    b = np.fromiter((x for t in tokens for x in t[1]), np.int64, n_b.sum())
+    a = np.concatenate([np.array(t[0], np.int64) for t in tokens])
+    b = np.concatenate([np.array(t[1], np.int64) for t in tokens])
     # Texts one after the other: each ends in a group of its own.
     of_a, of_b = coalesce(both.a_lengths[a], both.b_lengths[b])
     groups = int(of_a[-1]) + 1 if len(of_a) else 0
@@ -201,15 +209,8 @@ def read_tokenizers(spark: SparkSession, folder: str = FOLDER, a_file: str = A_F
     return spark.sparkContext.broadcast((Path(folder, a_file).read_bytes(), Path(folder, b_file).read_bytes()))
 
 
-def align(docs: DataFrame, files, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document with ``id``, the token ids ``a`` and ``b``, and the number of tokens
-    of each group on either side, ``a_sizes`` and ``b_sizes``, in order.
-
-    A document without text, or whose tokens of either side do not give back a space and its
-    text, has empty lists. Repeated rows and null ids are documents like any other; other columns
-    of ``docs`` are not read. A text is encoded in chunks, so a long one costs no more than its
-    length and the memory of its ids; only a run without single spaces is encoded at once.
-    """
+def _align(files) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (id, text) to batches of ``ALIGNED``."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, _ = _loaded(*files.value)
@@ -228,7 +229,23 @@ def align(docs: DataFrame, files, doc_id: str = "doc_id", text: str = "text") ->
         if ids:
             yield _aligned_batch(both, ids, tokens)
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(batches, ALIGNED)
+    return batches
+
+
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+
+
+def align(docs: DataFrame, files, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document with ``id``, the token ids ``a`` and ``b``, and the number of tokens
+    of each group on either side, ``a_sizes`` and ``b_sizes``, in order.
+
+    A document without text, or whose tokens of either side do not give back a space and its
+    text, has empty lists. Repeated rows and null ids are documents like any other; other columns
+    of ``docs`` are not read. A text is encoded in chunks, so a long one costs no more than its
+    length and the memory of its ids; only a run without single spaces is encoded at once.
+    """
+    return _texts(docs, doc_id, text).mapInArrow(_align(files), ALIGNED)
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -243,10 +260,8 @@ def _spelling(n_a: int, n_b: int) -> np.ndarray:
     return np.array(words, object)
 
 
-def digest(aligned: DataFrame, files) -> DataFrame:
-    """Counts of tokens, groups and links of each document, its links as numbers of pairs, and
-    the SHA-256 of its groups spelled out: ids joined by commas, A's before B's with a bar
-    between, groups joined by semicolons; empty without tokens."""
+def _digest(files) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of ``ALIGNED`` to batches of ``DIGESTS``."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, pairs = _loaded(*files.value)
@@ -287,7 +302,20 @@ def digest(aligned: DataFrame, files) -> DataFrame:
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"],
             )
 
-    return aligned.mapInArrow(batches, DIGESTS)
+    return batches
+
+
+def digest(aligned: DataFrame, files) -> DataFrame:
+    """Counts of tokens, groups and links of each document, its links as numbers of pairs, and
+    the SHA-256 of its groups spelled out: ids joined by commas, A's before B's with a bar
+    between, groups joined by semicolons; empty without tokens."""
+    return aligned.mapInArrow(_digest(files), DIGESTS)
+
+
+def aligned_digests(docs: DataFrame, files, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``digest(align(...))``, whose lists of tokens then stay inside one worker."""
+    aligned, digested = _align(files), _digest(files)
+    return _texts(docs, doc_id, text).mapInArrow(lambda frames: digested(aligned(frames)), DIGESTS)
 
 
 def pair_counts(digests: DataFrame) -> DataFrame:
@@ -331,5 +359,5 @@ def alignment_query(spark: SparkSession, folder: str) -> DataFrame:
     files = read_tokenizers(spark)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     # Written once: the links are read for the counts and for the documents.
-    digests = scratch.cut(digest(align(docs, files), files), "digests")
+    digests = scratch.cut(aligned_digests(docs, files), "digests")
     return rate(digests, files, scratch)
