@@ -16,6 +16,7 @@ from tillroll.llm.mixing import mixing_query
 from tillroll.llm.near_dup import NEAR_DUP_SQL, near_dup_query
 from tillroll.llm.quality import quality_query
 from tillroll.llm.secret_scan import secret_query
+from tillroll.llm.simhash import simhash_query
 from tillroll.llm.suffix_dedup import suffix_dedup_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_query,
     "op9_language_id": language_query,
     "op10_suffix_dedup": suffix_dedup_query,
+    "op12_simhash": simhash_query,
     "op13_alignment": alignment_query,
 }
 
