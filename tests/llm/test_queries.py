@@ -22,7 +22,7 @@ def database():
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql()) and set(ORACLE_SQL) <= set(QUERIES)
 
@@ -47,6 +47,9 @@ def test_query_equals_sql(spark, database, name):
         ("op7_secret_scan", "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"),
         ("op9_language_id", "doc_id bigint, held_out boolean, lang_pred string, score double"),
         ("op10_suffix_dedup", "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"),
+        ("op11_collocations", "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint"),
+        ("op12_simhash", "doc_id bigint, fingerprint string, component_id bigint"),
+        ("op13_alignment", "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"),
     ],
 )
 def test_columns_of_the_contracts(spark, name, columns):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.alignment import alignment_query
 from tillroll.llm.ann import ann_query
+from tillroll.llm.collocations import COLLOCATION_SQL, collocation_query
 from tillroll.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from tillroll.llm.language import language_query
 from tillroll.llm.licenses import license_query
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_query,
     "op9_language_id": language_query,
     "op10_suffix_dedup": suffix_dedup_query,
+    "op11_collocations": collocation_query,
     "op12_simhash": simhash_query,
     "op13_alignment": alignment_query,
 }
@@ -38,4 +40,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_near_dup": NEAR_DUP_SQL,
     "op3_decontamination": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
+    "op11_collocations": COLLOCATION_SQL,
 }
