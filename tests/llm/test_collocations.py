@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 from tillroll.llm import collocations as module
 from tillroll.llm.collocations import HEAD, PHRASE, REST, _lockstep, collocations
@@ -92,7 +93,7 @@ def test_small_blocks_and_ranges_count_the_same(spark, scratch):
     for batch in made:
         row = batch.to_pylist()[0]
         words = [None, *row["words"]]
-        ids = np.frombuffer(row["ids"], "<i4")
+        ids = np.frombuffer(zstandard.decompress(row["ids"]), "<i4")
         for size in (1, 2, 3):
             for end in range(row["context"], len(ids)):
                 gram = ids[end - size + 1 : end + 1] if end - size + 1 >= 0 else []

@@ -22,6 +22,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,7 @@ class _Block:
         counts = np.bincount(ids[self.context :], minlength=len(self.numbers))
         words = [w.decode() for w in list(self.numbers)[1:]]
         name = uuid.uuid4().bytes
+        packed = zstandard.compress(ids.astype("<i4").tobytes(), 1)
         for first in range(0, max(len(words), 1), WORDS_A_ROW):
             part = words[first : first + WORDS_A_ROW]
             yield pa.RecordBatch.from_arrays(
@@ -100,7 +102,7 @@ class _Block:
                     pa.array([first + 1], pa.int32()),
                     pa.array([part], pa.list_(pa.string())),
                     pa.array([counts[first + 1 : first + 1 + len(part)].astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([ids.astype("<i4").tobytes() if first == 0 else None], pa.binary()),
+                    pa.array([packed if first == 0 else None], pa.binary()),
                     pa.array([self.context], pa.int32()),
                 ],
                 names=["block", "lang", "first", "words", "counts", "ids", "context"],
@@ -150,7 +152,7 @@ def _grams(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for ids, context, at, number in zip(*(frame.column(k) for k in range(4)), strict=True):
-                words, context = np.frombuffer(ids.as_py(), "<i4"), context.as_py()
+                words, context = np.frombuffer(zstandard.decompress(ids.as_py()), "<i4"), context.as_py()
                 places, numbers = at.values.to_numpy(), number.values.to_numpy()
                 if not len(places):
                     continue
