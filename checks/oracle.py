@@ -155,7 +155,74 @@ _COUNTS = "\nUNION ALL\n".join(
     )
 )
 
+# The planted cells of each column, in order: text, what it means (NULL if nothing), why it is refused.
+_PLANTED = """
+    WITH quantity(n, cell, meant, fault) AS (VALUES
+      (0, '12', 12, NULL), (1, '1.0', NULL, 'no whole number'), (2, 'x7', NULL, 'no whole number'),
+      (3, '99999999999', NULL, 'out of range'), (4, ' 8 ', 8, NULL), (5, NULL, NULL, NULL),
+      (6, '', NULL, 'no whole number')),
+    invoice_date(n, cell, meant, fault) AS (VALUES
+      (0, '2010-12-01', TIMESTAMP '2010-12-01 00:00:00', NULL), (1, '40513', NULL, 'no full date'),
+      (2, '2010-12', NULL, 'no full date'), (3, '2010-13-01', NULL, 'no such date or time'),
+      (4, '2010-12-01 25:00:00', NULL, 'no such date or time'),
+      (5, '2010-12-01 08:26:00+05:00', NULL, 'no full date'), (6, NULL, NULL, NULL),
+      (7, '2010-12-01 08:26:00', TIMESTAMP '2010-12-01 08:26:00', NULL),
+      (8, '2010-12-01T08:26', TIMESTAMP '2010-12-01 08:26:00', NULL)),
+    unit_price(n, cell, meant, fault) AS (VALUES
+      (0, '2.50', CAST(2.50 AS DECIMAL(10,2)), NULL), (1, '1.005', 1.01, NULL), (2, '12,5', NULL, 'no number'),
+      (3, '100000000', NULL, 'out of range'), (4, '1e3', 1000.00, NULL)),
+    customer_id(n, cell, meant, fault) AS (VALUES
+      (0, '7', 7, NULL), (1, '12a', NULL, 'no whole number'), (2, '-2147483649', NULL, 'out of range'),
+      (3, NULL, NULL, NULL)),
+    planted AS (
+      SELECT l_orderkey, l_linenumber, q, d, p, c,
+             concat_ws('; ', 'quantity: ' || q.cell || ': ' || q.fault, 'invoice_date: ' || d.cell || ': ' || d.fault,
+                       'unit_price: ' || p.cell || ': ' || p.fault, 'customer_id: ' || c.cell || ': ' || c.fault) AS faults
+      FROM lineitem
+      JOIN quantity q ON q.n = (l_orderkey * 3 + l_linenumber) % 7
+      JOIN invoice_date d ON d.n = (l_orderkey * 4 + l_linenumber) % 9
+      JOIN unit_price p ON p.n = (l_orderkey * 5 + l_linenumber) % 5
+      JOIN customer_id c ON c.n = (l_orderkey * 6 + l_linenumber) % 4)
+"""
+
+def _quarantined() -> str:
+    """Where prices of customers that 7 divides are no numbers, their rows are not in the clean table."""
+    whole = _sql(_COUNTS, "fact_sales")
+    start = whole.index("clean AS (") + len("clean AS (")
+    end = whole.index("),\nvalid AS (")
+    kept = f"SELECT * FROM ({whole[start:end]}) WHERE coalesce(customer_id % 7 <> 0, true)"
+    return f"""{whole[:start]}{kept}{whole[end:]}
+        UNION ALL
+        SELECT 'staging', 'stg_orders_refused', 'SUCCESS', CAST(count(*) AS BIGINT)
+        FROM raw WHERE CAST(customer_id AS INT) % 7 = 0"""
+
+
+def _unchanged(changed: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{table}' THEN '{columns}'" for table, columns in changed.items())
+    by_table = f"CASE table_name {cases} ELSE '' END" if changed else "''"
+    return _sql(f"""
+        SELECT layer, table_name, row_count AS row_count_before, row_count, {by_table} AS changed
+        FROM ({_COUNTS})""", "fact_sales")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "rejected_casts": _PLANTED + """
+        SELECT l_orderkey, l_linenumber, q.cell AS quantity, d.cell AS invoice_date, p.cell AS unit_price,
+               c.cell AS customer_id, faults
+        FROM planted WHERE faults <> ''""",
+    "accepted_casts": _PLANTED + """
+        SELECT l_orderkey, l_linenumber, q.meant AS quantity, d.meant AS invoice_date, p.meant AS unit_price,
+               c.meant AS customer_id
+        FROM planted WHERE faults = ''""",
+    "quarantined_batch": _quarantined(),
+    "batch_durations": _sql(f"""
+        SELECT layer, table_name, true AS took_time, true AS in_turn, true AS fits_batch
+        FROM ({_COUNTS})""", "fact_sales"),
+    "rerun_fingerprint": _unchanged({}),
+    "changed_fingerprint": _unchanged({
+        "raw_orders": "*,unit_price", "stg_orders_raw_clean": "*,unit_price", "stg_orders_valid": "*,unit_price",
+        "fact_sales": "*,total_amount,unit_price",
+    }),
     "rename_columns": _all("raw"),
     "normalize_nulls": """
         SELECT CAST(o_orderkey AS VARCHAR) AS invoice_no,

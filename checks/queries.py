@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.order_lines import order_lines
@@ -307,6 +307,48 @@ def bad_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     return operators.bad_timestamps(cells, "invoice_date")
 
 
+# Cells planted among lines, some of which do not fit the type of their column.
+PLANTED = {
+    "quantity": ["12", "1.0", "x7", "99999999999", " 8 ", None, ""],
+    "invoice_date": [
+        "2010-12-01", "40513", "2010-12", "2010-13-01", "2010-12-01 25:00:00", "2010-12-01 08:26:00+05:00", None,
+        "2010-12-01 08:26:00", "2010-12-01T08:26",
+    ],
+    "unit_price": ["2.50", "1.005", "12,5", "100000000", "1e3"],
+    "customer_id": ["7", "12a", "-2147483649", None],
+}
+
+
+def _split_planted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    lines = _table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    for n, (column, cells) in enumerate(PLANTED.items()):
+        place = (F.col("l_orderkey") * (n + 3) + F.col("l_linenumber")) % len(cells)
+        lines = lines.withColumn(column, F.element_at(F.array(*(F.lit(c) for c in cells)), (place + 1).cast("int")))
+    return operators.split_casts(lines, schemas.TYPED_COLUMNS, Scratch(spark))
+
+
+def rejected_casts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with cells that do not fit, with every such cell and why."""
+    _, refused = _split_planted(spark, folder)
+    each = F.transform("faults", lambda x: F.concat_ws(": ", x["column"], x["value"], x["reason"]))
+    return refused.withColumn("faults", F.array_join(each, "; "))
+
+
+def accepted_casts(spark: SparkSession, folder: str) -> DataFrame:
+    taken, _ = _split_planted(spark, folder)
+    return taken
+
+
+def quarantined_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of a batch that sets bad rows aside: prices of one customer in seven are no numbers."""
+    sheet = _sheet(spark, folder)
+    bad = F.coalesce(F.col("CustomerID").cast("int") % 7 == 0, F.lit(False))
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
+    run_pipeline(spark, sheet.withColumn("UnitPrice", F.when(bad, "n. a.").otherwise(F.col("UnitPrice"))), warehouse.root, quarantine=True)
+    states = audit.audit_latest(audit.stage_events(warehouse.log.events()))
+    return states.select("layer", F.col("table").alias("table_name"), "status", "row_count")
+
+
 # -- audit -----------------------------------------------------------------------------------
 
 
@@ -352,6 +394,47 @@ def audit_latest(spark: SparkSession, folder: str) -> DataFrame:
     return latest.withColumnRenamed("table", "table_name")
 
 
+def batch_durations(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of a real batch: none ends before it starts or starts before the one before has
+    ended, and together they take no longer than the batch."""
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
+    run_pipeline(spark, _sheet(spark, folder), warehouse.root)
+    states = audit.audit_latest(audit.stage_events(warehouse.log.events()))
+    before = F.lag("finished_at").over(Window.orderBy("started_at"))  # seven rows
+    took = audit.stage_durations(warehouse.log.events()).select("layer", "table", "seconds")
+    whole = audit.audit_latest(warehouse.log.events().filter(F.col("table") == audit.BATCH_TABLE))
+    batch_seconds = whole.select((F.col("finished_at") - F.col("started_at")).cast("interval second").cast("decimal(18,6)").alias("batch"))
+    fits = took.agg(F.sum("seconds").alias("sum")).join(batch_seconds, F.col("sum") <= F.col("batch")).count() == 1
+    spans = states.withColumn("in_turn", F.coalesce(F.col("started_at") >= before, F.lit(True)))
+    return spans.join(took, ["layer", "table"]).select(
+        "layer", F.col("table").alias("table_name"), (F.col("seconds") > 0).alias("took_time"), "in_turn", F.lit(fits).alias("fits_batch")
+    )
+
+
+def rerun_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches over the same lines, the second dealt anew: which columns of which tables differ."""
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
+    sheet = _sheet(spark, folder)
+    run_pipeline(spark, sheet, warehouse.root)
+    run_pipeline(spark, sheet.repartition(7, "Description", "Quantity"), warehouse.root)
+    return _differences(warehouse)
+
+
+def changed_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, but the second sheet has every price raised by a cent."""
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"))
+    sheet = _sheet(spark, folder)
+    run_pipeline(spark, sheet, warehouse.root)
+    raised = (F.col("UnitPrice").cast("decimal(12,3)") + F.lit("0.01").cast("decimal(3,2)")).cast("string")
+    run_pipeline(spark, sheet.withColumn("UnitPrice", raised), warehouse.root)
+    return _differences(warehouse)
+
+
+def _differences(warehouse: Warehouse) -> DataFrame:
+    found = audit.rerun_differences(warehouse.log.events())
+    return found.select("layer", F.col("table").alias("table_name"), "row_count_before", "row_count", F.array_join("changed", ",").alias("changed"))
+
+
 def stage_durations(spark: SparkSession, folder: str) -> DataFrame:
     durations = audit.stage_durations(_load_events(spark, folder))
     return durations.withColumnRenamed("table", "table_name")
@@ -403,6 +486,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_violations": length_violations,
     "range_violations": range_violations,
     "bad_timestamps": bad_timestamps,
+    "rejected_casts": rejected_casts,
+    "accepted_casts": accepted_casts,
+    "quarantined_batch": quarantined_batch,
+    "batch_durations": batch_durations,
+    "rerun_fingerprint": rerun_fingerprint,
+    "changed_fingerprint": changed_fingerprint,
     "audit_latest": audit_latest,
     "stage_durations": stage_durations,
     "raw_load_log": _log_after_failure("raw"),

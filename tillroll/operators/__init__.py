@@ -1,14 +1,17 @@
 from tillroll.operators.cleanse import (
     apply_defaults,
     bad_timestamps,
+    cast_faults,
     cast_strict,
     conform,
     normalize_nulls,
     rejected_rows,
     rename_columns,
     required_keys,
+    split_casts,
     standardize_text,
 )
+from tillroll.operators.fingerprint import fingerprint_checks, read_fingerprint
 from tillroll.operators.keys import assign_dense_key
 from tillroll.operators.lookup import known_only, lookup
 from tillroll.operators.quality import (
@@ -26,10 +29,12 @@ __all__ = [
     "apply_defaults",
     "assign_dense_key",
     "bad_timestamps",
+    "cast_faults",
     "cast_strict",
     "conform",
     "dedupe",
     "distinct_dense_keys",
+    "fingerprint_checks",
     "fk_violations",
     "length_violations",
     "known_only",
@@ -38,10 +43,12 @@ __all__ = [
     "null_violations",
     "pk_violations",
     "range_violations",
+    "read_fingerprint",
     "rejected_rows",
     "rename_columns",
     "required_keys",
     "row_checks",
+    "split_casts",
     "standardize_text",
     "top_n_per_group",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import as_money, standard_text
 from tillroll.schemas import NULL_TOKENS, REQUIRED_KEYS, SHEET_HEADERS, TEXT_COLUMNS, Table
+from tillroll.scratch import Scratch
 from tillroll.session import require_strict_casts
 
 FULL_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?$"
@@ -78,6 +79,53 @@ def cast_strict(
     return df.withColumns({name: cast(name, to) for name, to in types.items()})
 
 
+def _cell_fault(name: str, to: str, timestamp_format: str | None) -> Column:
+    """Why ``cast_strict`` refuses a cell; null if it takes it."""
+    cell = F.col(name)
+    if to == "timestamp_ntz" and timestamp_format:
+        fits, fault = F.try_to_timestamp(cell, F.lit(timestamp_format)).isNotNull(), F.lit(f"not of the form {timestamp_format}")
+    elif to == "timestamp_ntz":
+        fits = is_full_timestamp(name) & cell.try_cast(to).isNotNull()
+        fault = F.when(is_full_timestamp(name), "no such date or time").otherwise("no full date")
+    elif to.startswith("decimal"):
+        wide = "decimal(12,2)" if to == "decimal(10,2)" else to
+        fits = cell.try_cast(wide).try_cast(to).isNotNull()
+        fault = F.when(cell.try_cast("decimal(38,2)").isNotNull(), "out of range").otherwise("no number")
+    else:
+        fits = cell.try_cast(to).isNotNull()
+        fault = F.when(cell.rlike(r"^\s*[+-]?[0-9]+\s*$"), "out of range").otherwise("no whole number")
+    return F.when(cell.isNotNull() & ~fits, fault)
+
+
+def cast_faults(types: Mapping[str, str], timestamp_format: str | None = None) -> Column:
+    """All cells of a row that ``cast_strict`` refuses: (column, value, reason) in the order of
+    the columns; an empty array for a row it takes."""
+    found = [
+        F.struct(F.lit(name).alias("column"), F.col(name).alias("value"), _cell_fault(name, to, timestamp_format).alias("reason"))
+        for name, to in types.items()
+    ]
+    return F.filter(F.array(*found), lambda x: x["reason"].isNotNull())
+
+
+def split_casts(
+    df: DataFrame, types: Mapping[str, str], scratch: Scratch, timestamp_format: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(taken, refused): the rows all of whose cells fit their types, cast, and the others as they
+    are, with ``faults``.
+
+    One pass over ``df`` writes both, each to its own folder, so neither output costs a second
+    scan, and ``df`` need not give the same rows twice. No row is in both or in none.
+    """
+    require_strict_casts(df.sparkSession)
+    judged = df.withColumn("faults", cast_faults(types, timestamp_format))
+    # Scratch reads by schema, and a folder without rows has none: so the flag is in the path only.
+    path = scratch.new_path("casts")
+    judged.withColumn("_refused", F.size("faults") > 0).write.partitionBy("_refused").parquet(path)
+    both = df.sparkSession.read.schema(judged.schema.add("_refused", "boolean")).parquet(path)
+    taken = both.filter(~F.col("_refused")).select(*df.columns)
+    return cast_strict(taken, types, timestamp_format), both.filter("_refused").drop("_refused")
+
+
 def required_keys(df: DataFrame, keys: Iterable[str] = REQUIRED_KEYS) -> DataFrame:
     """Rows in which every key is present. One test per key, which Parquet can skip by."""
     for key in keys:

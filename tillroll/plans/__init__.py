@@ -9,7 +9,7 @@ from tillroll.plans.dimensions import (
     distinct_dates,
 )
 from tillroll.plans.fact import build_fact, lookup_customer, lookup_date_key, lookup_product
-from tillroll.plans.staging import build_clean, build_raw, build_valid
+from tillroll.plans.staging import build_clean, build_raw, build_valid, split_clean
 
 __all__ = [
     "build_clean",
@@ -27,4 +27,5 @@ __all__ = [
     "lookup_customer",
     "lookup_date_key",
     "lookup_product",
+    "split_clean",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +12,11 @@ from tillroll import schemas
 from tillroll.operators import rename_columns
 from tillroll.plans.dimensions import build_dim_customer, build_dim_date, build_dim_product
 from tillroll.plans.fact import build_fact
-from tillroll.plans.staging import build_clean, build_raw, build_valid
+from tillroll.plans.staging import build_clean, build_raw, build_valid, split_clean
 from tillroll.schemas import Table
 from tillroll.scratch import Scratch
 from tillroll.session import require_session
-from tillroll.sources.audit import FAILED, SUCCESS
+from tillroll.sources.audit import FAILED, SUCCESS, loaded
 from tillroll.sources.landing import read_landing
 from tillroll.sources.warehouse import Warehouse
 
@@ -33,27 +33,30 @@ def run_stages(
     builds: list[tuple[Table, Callable[[dict[str, DataFrame]], DataFrame]]],
     file_name: str | None = None,
     verify_keys: bool = True,
+    proven_keys: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Load some tables, each from those before it, and publish all of them at once.
 
     On an error the stages are logged as failed, all of these tables keep their former rows, and
-    the error goes on to the caller. Returns the tables as written, by name.
+    the error goes on to the caller. ``proven_keys`` are foreign keys that the builds compare with
+    their parents themselves. Returns the tables as written, by name.
     """
     begun: list[tuple[Table, dict]] = []
     written: dict[str, DataFrame] = {}
-    counts: list[int] = []
     try:
         for table, build in builds:
             begun.append((table, warehouse.log.start(table, batch.batch_id, file_name)))
-            counts.append(warehouse.write_snapshot(table, build(written), batch.batch_id))
+            done = warehouse.load_snapshot(table, build(written), batch.batch_id)
             if verify_keys:
-                warehouse.check_keys(table, batch.batch_id, counts[-1])
+                warehouse.check_keys(table, batch.batch_id, done.row_count, proven_keys)
+            # Its own end, though it is published with the others.
+            begun[-1] = (table, loaded(begun[-1][1], done.row_count, done.fingerprint))
             written[table.name] = warehouse.read(table, batch.batch_id)
-        warehouse.publish([(t, s, n) for (t, s), n in zip(begun, counts, strict=True)])
+        warehouse.publish(begun)
     except Exception as error:
         warehouse.fail(begun, error)
         raise
-    batch.row_counts.update({t.name: n for (t, _), n in zip(begun, counts, strict=True)})
+    batch.row_counts.update({t.name: stage["row_count"] for t, stage in begun})
     return written
 
 
@@ -67,6 +70,7 @@ def run_pipeline(
     verify_keys: bool = True,
     keep_snapshots: int | None = 2,
     take_over: bool = False,
+    quarantine: bool = False,
 ) -> Batch:
     """Load all tables of the warehouse at ``root`` from the order sheets at ``source``.
 
@@ -75,7 +79,9 @@ def run_pipeline(
     once and only after the fact is checked. ``verify_keys`` also checks primary and foreign
     keys, which the plans already ensure, by reading the written keys once more. Snapshots but
     for the ``keep_snapshots`` newest are deleted at the end (None keeps all). Only one batch
-    may be open: ``take_over`` ends one whose process died.
+    may be open: ``take_over`` ends one whose process died. A cell that does not fit its type
+    fails the batch; with ``quarantine``, its row goes to ``staging.stg_orders_refused`` instead,
+    with all of its faults, published together with the clean table.
     """
     require_session(spark)
     warehouse = Warehouse(spark, root)
@@ -89,12 +95,21 @@ def run_pipeline(
             return source
         return read_landing(spark, source, fmt, multi_line=multi_line)
 
-    def stage(*builds, file_name: str | None = None) -> dict[str, DataFrame]:
-        return run_stages(warehouse, batch, list(builds), file_name, verify_keys)
+    def stage(*builds, file_name: str | None = None, proven_keys: Collection[str] = ()) -> dict[str, DataFrame]:
+        return run_stages(warehouse, batch, list(builds), file_name, verify_keys, proven_keys)
 
     try:
         raw = stage((schemas.RAW_ORDERS, lambda _: build_raw(rename_columns(landed()))), file_name=file_name)
-        clean = stage((schemas.ORDERS_CLEAN, lambda _: build_clean(raw["raw_orders"], timestamp_format)))
+        if quarantine:
+            parts: list[DataFrame] = []
+
+            def taken(_: dict[str, DataFrame]) -> DataFrame:
+                parts.extend(split_clean(raw["raw_orders"], scratch, timestamp_format))
+                return parts[0]
+
+            clean = stage((schemas.ORDERS_CLEAN, taken), (schemas.ORDERS_REFUSED, lambda _: parts[1]))
+        else:
+            clean = stage((schemas.ORDERS_CLEAN, lambda _: build_clean(raw["raw_orders"], timestamp_format)))
         valid = stage((schemas.ORDERS_VALID, lambda _: build_valid(clean["stg_orders_raw_clean"])))
         lines = valid["stg_orders_valid"]
         stage(
@@ -105,6 +120,8 @@ def run_pipeline(
                 schemas.FACT_SALES,
                 lambda done: build_fact(lines, done["dim_date"], done["dim_product"], done["dim_customer"], scratch),
             ),
+            # The fact's plan has taken out what is unknown to the written dimensions.
+            proven_keys=[fk.column for fk in schemas.FACT_SALES.foreign_keys],
         )
     except Exception as error:
         warehouse.log.finish(opened, FAILED, error_message=str(error))

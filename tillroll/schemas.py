@@ -125,6 +125,16 @@ RAW_ORDERS = Table(
     "raw", "raw_orders", (*(Column(c, "string") for c in ORDER_COLUMNS), INGESTION_TS)
 )
 ORDERS_CLEAN = Table("staging", "stg_orders_raw_clean", _TYPED_ORDER)
+# Rows with cells that do not fit their types, as texts, where a batch sets them aside.
+ORDERS_REFUSED = Table(
+    "staging",
+    "stg_orders_refused",
+    (
+        *(Column(c, "string") for c in ORDER_COLUMNS),
+        Column("faults", "array<struct<column:string,value:string,reason:string>>", required=True),
+        INGESTION_TS,
+    ),
+)
 ORDERS_VALID = Table("staging", "stg_orders_valid", _TYPED_ORDER)
 DIM_CUSTOMER = Table(
     "business",
@@ -192,6 +202,9 @@ TABLES = (
     RAW_ORDERS, ORDERS_CLEAN, ORDERS_VALID, DIM_CUSTOMER, DIM_PRODUCT, DIM_DATE, FACT_SALES,
 )
 
+# Those, and the tables that only some batches load.
+ALL_TABLES = (*TABLES, ORDERS_REFUSED)
+
 LOAD_EVENTS = Table(
     "audit",
     "load_events",
@@ -206,5 +219,6 @@ LOAD_EVENTS = Table(
         Column("started_at", "timestamp_ntz"),
         Column("finished_at", "timestamp_ntz"),
         Column("error_message", "string"),
+        Column("fingerprint", "string"),
     ),
 )
