@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +33,26 @@ def word_count(text: Column | str) -> Column:
     return F.size(words).cast("long")
 
 
+def lots(texts: Sequence[bytes], most: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of runs of texts that hold about so many bytes, or one longer text."""
+    first, size = 0, 0
+    for n, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield first, n
+            first, size = n, 0
+        size += len(text)
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def release_memory() -> None:
+    """Give back what a worker holds but does not use: workers live on between the stages of a
+    pipeline, side by side with those of the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def hash_sample(docs: DataFrame, hashed: Column, by: list[str], size: int, groups: int) -> DataFrame:
     """Rows of ``docs`` for training: of each group of the columns ``by`` (none may be null), those
     with the ``size`` smallest different hashes, one row for each hash.

@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import lots, release_memory
 from tillroll.scratch import Scratch
 
 WINDOW = 10
 # Words of the benchmark in one automaton; a larger benchmark is read in several passes.
 BLOCK_WORDS = 50_000
+# Texts whose word numbers are held at once.
+LOT_BYTES = 1 << 21
 # A document with this share of words in item passages goes as a whole.
 MAX_COVERAGE = 0.5
 
@@ -225,11 +228,13 @@ def _scanner(spark: SparkSession, automaton: ItemAutomaton):
     @F.pandas_udf(FOUND)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = _judge([t or b"" for t in batch], shared.value)
+            texts = [t or b"" for t in batch]
+            found = [x for first, last in lots(texts, LOT_BYTES) for x in _judge(texts[first:last], shared.value)]
             rows = [
                 (n, [{"start": a, "end": b} for a, b in spans], names, items) for n, spans, names, items in found
             ]
             yield pd.DataFrame(rows, columns=[f.name for f in FOUND.fields])
+        release_memory()
 
     return scan.asNondeterministic()
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import hash_sample
+from tillroll.llm.common import hash_sample, release_memory
 
 BUCKET_BITS = 17
 CHAIN = 64
@@ -293,6 +293,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text")
             score = np.divide(shares[np.arange(len(batch)), best], total, out=np.zeros(len(batch)), where=found) if known.languages else total
             names = [known.languages[b] if f else UNKNOWN for b, f in zip(best, found, strict=True)]
             yield pd.DataFrame({"lang_pred": names, "score": np.clip(score, 0.0, 1.0)})
+        release_memory()
 
     judged = docs.drop("lang_pred", "score").withColumn("_language", judge.asNondeterministic()(F.col(text)))
     return judged.select("*", "_language.lang_pred", "_language.score").drop("_language")

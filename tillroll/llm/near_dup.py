@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import components
+from tillroll.llm.common import components, release_memory
 from tillroll.scratch import Scratch
 
 SHINGLE_WORDS = 5
@@ -128,6 +128,7 @@ def _described(docs: DataFrame, doc_id: str, size: int) -> DataFrame:
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame([_describe(t, size) for t in batch], columns=[f.name for f in DESCRIBED.fields])
+        release_memory()
 
     rows = docs.select(
         F.col(doc_id).alias("id"),
@@ -217,6 +218,7 @@ def _candidates(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
             if found.any():
                 other = frame["class"].to_numpy()[head[found]]
                 yield frame.loc[found, ["tree", "node", "class", "label"]].assign(other=other)
+        release_memory()
 
     rows = members.select("tree", "node", "class", "label").join(sketches, "class")
     return _dealt(rows).mapInPandas(pick, CANDIDATE)
@@ -263,6 +265,7 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 edges += _spanning(names[first:last], labels[first:last], hashes[first:last], percent)
             if edges:
                 yield pd.DataFrame(edges, columns=["u", "v"])
+        release_memory()
 
     rows = members.select("node", "class", "label").distinct().join(sets, "class")
     return _dealt(rows).mapInPandas(link, "u binary, v binary")
