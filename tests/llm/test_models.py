@@ -216,6 +216,77 @@ def test_wrapped_notices_whole_texts_and_long_lines(spark, scratch):
     assert [r["license"] for r in found] == [wanted for wanted, _ in data]
 
 
+def plain_passages(texts):
+    """Cosine of every window of every text with every template, term by term."""
+    import math
+
+    bucket = licenses._Buckets().__getitem__
+    every = [licenses.units_of(t) for t in texts]
+    templates = [(name, [bucket(t) for t in terms]) for name, terms in licenses._templates()]
+    seen = [{bucket(t) for t in u} for units in every for u in units] + [set(terms) for _, terms in templates]
+    idf = lambda b: math.log((len(seen) + 1) / (sum(b in s for s in seen) + 1)) + 1
+    rarity = {b: idf(b) for b in set().union(*seen)}
+
+    def vector(terms):
+        return {b: terms.count(b) * rarity[b] for b in set(terms)}
+
+    def cosine(x, y):
+        return sum(w * y.get(b, 0) for b, w in x.items()) / math.sqrt(sum(w * w for w in x.values()) * sum(w * w for w in y.values()))
+
+    known = [(name, vector(terms)) for name, terms in templates]
+    out = []
+    for text, units in zip(texts, every, strict=True):
+        found = []
+        shapes = {(lo, n) for n in licenses.WINDOWS for lo in range(len(units) - n + 1)}
+        if units and len(text.split()) <= licenses.WHOLE_WORDS:
+            shapes.add((0, len(units)))
+        for lo, n in sorted(shapes):
+            own = vector([bucket(t) for u in units[lo : lo + n] for t in u])
+            score, name = min((-round(min(1.0, cosine(own, v)), 9), name) for name, v in known)
+            if -score >= licenses.MIN_COSINE:
+                found.append((lo, n, name, -score))
+        out.append(found)
+    return out
+
+
+def test_passages_equal_a_plain_cosine(spark, scratch):
+    prose = "the terms of this license are not those of any other program in the public domain. " * 4
+    texts = [
+        prose + "\nLicensed under the MIT license\nand more prose\n\n" + prose,
+        "Apache License\n  Version 2.0, January 2004\n" + prose,
+        licenses._BSD + "\n" + licenses._BSD_1_2 + licenses._BSD_3 + "\n" + licenses._AS_IS,
+        "All rights reserved.\nRedistribution and use in source and\nbinary forms, with or without modification",
+        "", "license", "MIT MIT MIT license license. Released",
+    ]
+    files = spark.createDataFrame([(f"f{i}", t, i) for i, t in enumerate(texts)], "path string, text string, at int")
+    found = licenses.scan_licenses(files, scratch, keep_text=False).orderBy("at").collect()
+    for row, wanted in zip(found, plain_passages(texts), strict=True):
+        got = [(p["lo"], p["n"], p["license"], p["score"]) for p in row["passages"]]
+        assert [x[:3] for x in got] == [x[:3] for x in wanted]
+        assert np.allclose([x[3] for x in got], [x[3] for x in wanted], atol=1e-8)
+
+
+def test_long_files_are_scored_in_stretches(monkeypatch):
+    templates = licenses.Templates(np.ones(1 << licenses.BUCKET_BITS))
+    units = [["word", str(n)] for n in range(90)]
+    units[30:30] = licenses.units_of("apache license\nversion 2.0, january 2004")
+    units[70:70] = licenses.units_of("released under the mit license.")
+    whole = templates.passages(units, False, licenses._Buckets())
+    assert {p[2] for p in whole} == {"Apache-2.0", "MIT"}
+    for size in (13, 14, 20, 40):
+        monkeypatch.setattr(licenses, "LOT_UNITS", size)
+        assert templates.passages(units, False, licenses._Buckets()) == whole
+
+
+def test_a_null_path_and_a_null_text_are_not_mixed_up(spark, scratch):
+    words = "Released under the MIT License."
+    files = spark.createDataFrame([(words, None), (None, words), (None, None)], "path string, text string")
+    found = {(r["path"], r["text"]): r for r in licenses.scan_licenses(files, scratch).collect()}
+    assert found[None, words]["license"] == "MIT" and found[None, words]["own"]
+    assert found[words, None]["license"] is None and not found[words, None]["own"]
+    assert found[None, None]["license"] is None
+
+
 def test_license_lines_of_the_documents(spark, documents):
     found = {r["doc_id"]: r for r in licenses.license_query(spark, FOLDER).collect()}
     wanted = {"Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}

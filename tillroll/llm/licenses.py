@@ -1,8 +1,11 @@
 """License scans: TF-IDF cosine of license passages to templates, and inheritance by directory.
 
 A file is a sequence of lines, long ones cut into sentences or short runs of words. Windows of
-consecutive ones, around those that hold a rare term of a template, and short files as a whole, are
-compared with templates of notices and of whole texts, as sparse vectors joined on their terms. A
+consecutive ones, and short files as a whole, are compared with templates of notices and of whole
+texts, as sparse vectors of hashed terms, weighed by how rare a term is among the lines of all
+files. Products with the templates are sums over lines, so all windows of a text are scored in
+place from running sums; only those that can reach the threshold get their exact length, and
+nothing but passages with a license leaves the scan. A
 file's license is that of its best passage. Files that are licences, by
 name or because license lines are most of their words, speak for their directory; a file without
 a license of its own takes that of the nearest directory above it that has one.
@@ -11,11 +14,17 @@ a license of its own takes that of the nearest directory above it that has one.
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.llm.common import word_count
+from tillroll.llm.common import release_memory
 from tillroll.scratch import Scratch
 
 _NOTICE = (
@@ -114,19 +123,6 @@ TEMPLATES = {
 }
 # The first is the second and more: a file with passages of both has the first.
 INCLUDES = {"BSD-3-Clause": "BSD-2-Clause"}
-# Terms of templates that prose is full of; every other one makes a line a candidate.
-COMMON = set(
-    "a if such substitute creative distribute distribution documentation permission 4.0 2004 2007 1991 1999 19 29 2.1 30 above action advised all an and any appear are arising as associated attribution be business but by"
-    " cause caused charge claim clause code conditions connection contract copies copy damage damages data date deal dealings"
-    " dedicated derived direct domain even event except express fee file files fitness following for form forms foundation free from"
-    " furnished general goods governed government however in included including indirect international interruption into is"
-    " it its january june february november kind later law lesser library liable limited list loss made materials may merge met modify must"
-    " name names neither no nor not notice obtaining of on option or other otherwise out particular permit permitted person"
-    " persons portions possibility prior products profits program promote provided public publish published purpose released"
-    " restriction right rights sell services shall software source special specific strict style subject terms that"
-    " the theory this to under universal use used version was way whether whom with without work written you your at can"
-    " limitation substantial do so 1 2 3 v 1.0 2.0 by sa nc either included authors form person published".split()
-)
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)(\.(md|txt|rst))?$"
 MIN_COSINE = 0.7
 # Share of a file's words in license lines from which it is a licence file.
@@ -136,135 +132,220 @@ FILE_SHARE = 0.5
 LINE_WORDS, RUN_WORDS = 30, 4
 # Sizes of windows, in lines or their pieces; files up to so many words are also compared as a whole.
 WINDOWS, WHOLE_WORDS = (1, 2, 3, 4, 6, 12), 600
+# Terms are counted in so many buckets, whatever the number of files.
+BUCKET_BITS = 20
+LOT_UNITS = 1 << 13
 
-_TERM = r"[\p{L}0-9]+(?:\.[0-9]+)*"
-_RARE = sorted(
-    {t for texts in TEMPLATES.values() for text in texts for t in re.findall(r"[^\W_]+(?:\.[0-9]+)*", text.lower())} - COMMON
-)
-# Also other spellings of the same words, and what templates say in two common words.
-CANDIDATE = (
-    r"(?i)licen[cs]e|rights reserved|public domain|free of charge|\b(?:" + "|".join(map(re.escape, _RARE)) + r")\b"
+_TERM = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+_SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
+
+JUDGED = T.StructType(
+    [
+        T.StructField("license", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("spoken", T.LongType()),
+        T.StructField("words", T.LongType()),
+        T.StructField(
+            "passages",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("lo", T.IntegerType()),
+                        T.StructField("n", T.IntegerType()),
+                        T.StructField("license", T.StringType()),
+                        T.StructField("score", T.DoubleType()),
+                    ]
+                )
+            ),
+        ),
+    ]
 )
 
 
-def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+def units_of(text: str) -> list[list[str]]:
+    """The terms of every line that has any; long lines in sentences, long sentences in runs."""
+    out: list[list[str]] = []
+    for line in text.lower().split("\n"):
+        for piece in _SENTENCE.split(line) if line.count(" ") >= LINE_WORDS else (line,):
+            terms = _TERM.findall(piece)
+            if len(terms) > LINE_WORDS:
+                out += [terms[i : i + RUN_WORDS] for i in range(0, len(terms), RUN_WORDS)]
+            elif terms:
+                out.append(terms)
+    return out
 
 
-def _units(text: Column) -> Column:
-    """The terms of every line that has any; long lines in sentences, long sentences in runs."""
-    def runs(piece: Column) -> Column:
-        # As the one element of an array, so that the terms are found once.
-        return F.flatten(F.transform(F.array(_terms(piece)), cut_up))
+class _Buckets(dict):
+    """Bucket of each term, remembered for as many as a worker meets up to a bound."""
 
-    def cut_up(terms: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(terms), F.lit(1)), F.lit(RUN_WORDS))
-        cut = F.transform(starts, lambda i: F.array_join(F.slice(terms, i, RUN_WORDS), " "))
-        return F.when(F.size(terms) > LINE_WORDS, cut).otherwise(F.array(F.array_join(terms, " ")))
+    def __missing__(self, term: str) -> int:
+        if len(self) > 1 << 19:
+            self.clear()
+        self[term] = found = zlib.crc32(term.encode()) >> (32 - BUCKET_BITS)
+        return found
 
-    def pieces(line: Column) -> Column:
-        long = F.size(F.split(line, " ")) > LINE_WORDS
-        return F.when(long, F.flatten(F.transform(F.split(line, r"(?<=[.!?;:])\s+"), runs))).otherwise(runs(line))
 
-    return F.filter(F.flatten(F.transform(F.split(text, "\n", -1), pieces)), lambda x: x != "")
+def _flat(units: list[list[str]], buckets: _Buckets) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all terms, and where each unit's start, with the end last."""
+    starts = np.concatenate(([0], np.cumsum([len(u) for u in units], dtype=np.int64)))
+    return np.fromiter((buckets[t] for u in units for t in u), np.int64, starts[-1]), starts
 
 
-def _windows(units: Column, words: Column) -> Column:
-    """(lo, n, line): windows of ``WINDOWS`` units that hold a candidate, and short files."""
-    size = F.size(units)
-    shapes = [F.struct(F.lit(back).alias("back"), F.lit(n).alias("n")) for n in WINDOWS for back in range(n)]
-    at = F.filter(F.transform(units, lambda x, i: F.when(x.rlike(CANDIDATE), i)), lambda i: i.isNotNull())
-    places = F.flatten(F.transform(at, lambda i: F.transform(F.array(*shapes), lambda s: F.struct((i - s["back"]).alias("lo"), s["n"].alias("n")))))
-    whole = F.when(words <= WHOLE_WORDS, F.array(F.struct(F.lit(0).alias("lo"), size.alias("n"))))
-    inside = F.filter(places, lambda p: (p["lo"] >= 0) & (p["lo"] + p["n"] <= size))
-    every = F.array_distinct(F.concat(inside, F.coalesce(whole, F.array().cast("array<struct<lo:int,n:int>>"))))
-    return F.transform(every, lambda p: F.struct(p["lo"].alias("lo"), p["n"].alias("n"), F.array_join(F.slice(units, p["lo"] + 1, p["n"]), " ").alias("line")))
+def term_rarity(texts: DataFrame) -> np.ndarray:
+    """Inverse frequency of each bucket among the units of all texts (one column) and templates."""
 
+    def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, found, total = _Buckets(), np.zeros((1 << BUCKET_BITS) + 1, np.int64), 0
+        for frame in frames:
+            units: list[list[str]] = []
+            for n, text in enumerate(frame.column(0), 1):
+                units += units_of(text.as_py() or "")
+                if len(units) >= LOT_UNITS or n == len(frame):
+                    total += len(units)
+                    flat, starts = _flat(units, buckets)
+                    own = np.repeat(np.arange(len(units)), np.diff(starts)) << BUCKET_BITS | flat
+                    found += np.bincount(np.unique(own) & (1 << BUCKET_BITS) - 1, minlength=len(found))
+                    units = []
+        found[-1] = total
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], names=["bucket", "n"])
+        release_memory()
 
-def _cosines(lines: DataFrame, spark: SparkSession) -> DataFrame:
-    """(line, license, score): the best template of every distinct passage, ties by name.
+    counts = np.zeros((1 << BUCKET_BITS) + 1)
+    # At most one row for each bucket.
+    rows = texts.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts[rows["bucket"].to_numpy(int)] = rows["n"].to_numpy(float)
+    total, counts = counts[-1], counts[:-1]
+    for _, terms in _templates():
+        counts[sorted({_Buckets()[t] for t in terms})] += 1
+        total += 1
+    return np.log((total + 1) / (counts + 1)) + 1
 
-    Terms count by their number in a passage times the log of how rare they are among all license
-    lines (``n`` of each; none for longer passages) and templates; the score is the cosine.
-    """
-    rows = [(f"{name}#{i}", name, text) for name, texts in TEMPLATES.items() for i, text in enumerate(texts)]
-    templates = spark.createDataFrame(rows, "template string, license string, text string")
-    bags = lines.select("line", "n", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = templates.select("template", "license", F.explode(_terms(F.col("text"))).alias("term"))
-    known = known.groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
-    # Each template counts once, each single line as often as it occurs.
-    every = lines.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] + len(rows)
-    seen = bags.select("term", "n").unionByName(known.select("term", F.lit(1).cast("long").alias("n")))
-    rarity = seen.groupBy("term").agg((F.ln((F.lit(float(every)) + 1) / (F.sum("n") + 1)) + 1).alias("idf"))
-
-    def weighted(bag: DataFrame) -> DataFrame:
-        return bag.join(rarity, "term").withColumn("w", F.col("tf") * F.col("idf"))
-
-    of_lines, of_templates = weighted(bags), weighted(known)
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")))
-    line_length = of_lines.groupBy("line").agg(length.alias("line_length"))
-    template_length = of_templates.groupBy("template").agg(length.alias("template_length"))
-    a = of_lines.select("line", "term", F.col("w").alias("lw"))
-    b = of_templates.select("template", "license", "term", F.col("w").alias("tw"))
-    dots = a.join(b, "term").groupBy("line", "template", "license").agg(F.sum(F.col("lw") * F.col("tw")).alias("dot"))
-    scored = dots.join(line_length, "line").join(template_length, "template").select(
-        "line", "license", F.least(F.lit(1.0), F.col("dot") / (F.col("line_length") * F.col("template_length"))).alias("score")
-    )
-    best = scored.groupBy("line").agg(F.min(F.struct((-F.round("score", 9)).alias("minus"), "license")).alias("b"))
-    return best.select("line", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score"))
 
+def _templates() -> list[tuple[str, list[str]]]:
+    return [(name, _TERM.findall(text.lower())) for name, texts in TEMPLATES.items() for text in texts]
+
+
+class Templates:
+    """Weights of all templates under given rarities of terms, each of length one."""
+
+    def __init__(self, rarity: np.ndarray):
+        self.rarity = rarity
+        templates = _templates()
+        self.names = [name for name, _ in templates]
+        buckets = _Buckets()
+        known = sorted({buckets[t] for _, terms in templates for t in terms})
+        self.row = np.zeros(len(rarity), np.int32)  # of a bucket; 0 is in no template
+        self.row[known] = np.arange(1, len(known) + 1)
+        self.weights = np.zeros((len(known) + 1, len(templates)))
+        for k, (_, terms) in enumerate(templates):
+            for term in terms:
+                self.weights[self.row[buckets[term]], k] += 1
+        self.weights[1:] *= rarity[known][:, None]
+        self.weights /= np.sqrt((self.weights**2).sum(0))
+        # Ties go to the first by name.
+        self.order = np.argsort(np.array(self.names), kind="stable")
+
+    def passages(self, units: list[list[str]], whole: bool, buckets: _Buckets) -> list[tuple[int, int, str, float]]:
+        """(lo, n, license, score) of all windows of ``MIN_COSINE`` or more, and of the whole if
+        that is asked for."""
+        found: dict[tuple[int, int], tuple[int, int, str, float]] = {}
+        step = LOT_UNITS - max(WINDOWS)
+        for first in range(0, max(1, len(units) - max(WINDOWS)), step):
+            for lo, n, name, score in self._stretch(units[first : first + LOT_UNITS], whole and len(units) <= LOT_UNITS, buckets):
+                found[first + lo, n] = (first + lo, n, name, score)
+        return [found[k] for k in sorted(found)]
+
+    def _stretch(self, units: list[list[str]], whole: bool, buckets: _Buckets) -> Iterator[tuple[int, int, str, float]]:
+        flat, starts = _flat(units, buckets)
+        if not len(units):
+            return
+        weight = self.rarity[flat]
+        rows = self.row[flat]
+        known = np.flatnonzero(rows)
+        if not len(known):
+            return
+        # Products with the templates, and a lower bound of the squared length, summed up to each unit.
+        each = self.weights[rows[known]] * weight[known, None]
+        sums = np.vstack((np.zeros((1, each.shape[1])), np.cumsum(each, 0)))[np.searchsorted(known, starts)]
+        least = np.concatenate(([0.0], np.cumsum(weight * weight)))[starts]
+        sizes = sorted({n for n in WINDOWS if n <= len(units)} | ({len(units)} if whole else set()))
+        for n in sizes:
+            best = (sums[n:] - sums[:-n]).max(1)
+            for lo in np.flatnonzero(best >= (MIN_COSINE - 1e-6) * np.sqrt(least[n:] - least[:-n])).tolist():
+                own, times = np.unique(flat[starts[lo] : starts[lo + n]], return_counts=True)
+                length = np.sqrt(((times * self.rarity[own]) ** 2).sum())
+                scores = np.round(np.minimum(1.0, (sums[lo + n] - sums[lo]) / length), 9)[self.order]
+                top = int(scores.argmax())
+                if scores[top] >= MIN_COSINE:
+                    yield lo, n, self.names[self.order[top]], float(scores[top])
 
-def scan_licenses(files: DataFrame, scratch: Scratch, path: str = "path", text: str = "text") -> DataFrame:
-    """``files`` with license, score, own (boolean) and license_dir, replacing such columns.
+    def judge(self, text: str | None, buckets: _Buckets) -> tuple:
+        """A row of ``JUDGED``: the license of the best passage, and the words in any passage."""
+        text = text or ""
+        units, words = units_of(text), len(text.encode().split())
+        passages = self.passages(units, words <= WHOLE_WORDS, buckets)
+        if not passages:
+            return None, None, 0, words, []
+        best: dict[str, float] = {}
+        for _, _, name, score in passages:
+            best[name] = max(score, best.get(name, 0.0))
+        for more, less in INCLUDES.items():
+            if more in best:
+                best.pop(less, None)
+        name = min(best, key=lambda x: (-best[x], x))
+        covered = {u for lo, n, _, _ in passages for u in range(lo, lo + n)}
+        return name, best[name], sum(len(units[u]) for u in covered), words, passages
 
-    A passage is a window (``WINDOWS``) of consecutive lines or pieces of long ones, or a short file; it has
-    a license if its cosine is ``MIN_COSINE`` or more, and the file's is that of its best passage
-    (ties by name; one that includes another goes before it). A licence file speaks for the
+
+def judge_files(files: DataFrame, text: str = "text") -> DataFrame:
+    """``files`` with ``_judged`` (``JUDGED``): the license of each by its own text. One scan for
+    the rarity of terms, and one to score; no text is shuffled or written."""
+    spark = files.sparkSession
+    shared = spark.sparkContext.broadcast(Templates(term_rarity(files.select(F.col(text).cast("string").alias("text")))))
+
+    @F.pandas_udf(JUDGED)
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        buckets = _Buckets()
+        for batch in batches:
+            rows = [shared.value.judge(t, buckets) for t in batch]
+            frame = pd.DataFrame(rows, columns=[f.name for f in JUDGED.fields])
+            frame["passages"] = [[dict(zip(("lo", "n", "license", "score"), p, strict=True)) for p in r[4]] for r in rows]
+            yield frame
+        release_memory()
+
+    return files.withColumn("_judged", judged.asNondeterministic()(F.col(text).cast("string")))
+
+
+def scan_licenses(
+    files: DataFrame, scratch: Scratch, path: str = "path", text: str = "text", keep_text: bool = True
+) -> DataFrame:
+    """``files`` with license, score, own (boolean), license_dir and passages, replacing such
+    columns; without their texts if these are not to be kept.
+
+    A passage is a window (``WINDOWS``) of consecutive lines or pieces of long ones, or a short file;
+    it has a license if its cosine is ``MIN_COSINE`` or more, and the file's is that of its best
+    passage (ties by name; one that includes another goes before it). ``passages`` lists all of
+    them, by the first line and the number of lines. A licence file speaks for the
     directory it is in: the best score, then the name. Files
     without a license take that of the nearest directory above; ``license_dir`` names it, and
     ``own`` is false. Without any, license is null and score 0. Null texts are empty; a file with
-    a null path is in no directory. Repeated rows are files of their own.
+    a null path is in no directory. Repeated rows are files of their own, each judged by its own
+    text. Long texts are scored in stretches of bounded size; an empty table gives no rows.
     """
-    spark = files.sparkSession
-    others = [c for c in files.columns if c not in ("license", "score", "own", "license_dir")]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    # One text at a time; only passages around rare terms of templates are kept.
-    key = F.xxhash64(path, text)
-    speaking = files.filter(whole.rlike(CANDIDATE)).select(
-        key.alias("key"), F.col(path).alias("path"), _units(whole).alias("units"), word_count(text).alias("words")
-    )
-    slim = speaking.select("key", "path", "words", F.transform("units", lambda x: F.size(F.split(x, " "))).alias("lengths"), _windows(F.col("units"), F.col("words")).alias("passages"))
-    # No filter on what is computed here: pushed into the scan, it would repeat the work in every lambda.
-    slim = scratch.cut(slim.dropDuplicates(["key"]), "passages")
-    spoken = slim.select("key", "path", "words", "lengths", F.inline("passages"))
-    distinct = spoken.groupBy("line").agg(F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("n"))
-    scored = scratch.cut(_cosines(scratch.cut(distinct, "distinct"), spark).filter(F.col("score") >= MIN_COSINE), "scored")
-    found = scratch.cut(spoken.join(scored, "line").drop("line"), "found")
-    by_license = found.groupBy("key", "license").agg(F.max("score").alias("score"))
-    both = by_license.groupBy("key").agg(F.collect_list(F.struct((-F.col("score")).alias("minus"), "license")).alias("all"))
-    kept = F.col("all")
-    for more, less in INCLUDES.items():
-        has = F.exists("all", lambda x: x["license"] == more)
-        kept = F.filter(kept, lambda x: ~(has & (x["license"] == less)))
-    chosen = both.select("key", F.array_min(kept).alias("b"))
-    # Words of all units in some passage with a license.
-    places = found.select("key", "path", "words", "lengths", F.explode(F.sequence(F.col("lo"), F.col("lo") + F.col("n") - 1)).alias("at"))
-    lengths = places.groupBy("key", "path", "words", "at").agg(F.first(F.get("lengths", F.col("at"))).alias("w"))
-    own = lengths.groupBy("key", "path", "words").agg(F.sum("w").alias("spoken")).join(chosen, "key")
-    own = scratch.cut(
-        own.select("key", "path", "words", "spoken", F.col("b.license").alias("_license"), (-F.col("b.minus")).alias("_score")), "own"
-    )
+    made = ("license", "score", "own", "license_dir", "passages")
+    others = [c for c in files.columns if c not in made and (keep_text or c != text)]
+    judged = scratch.cut(judge_files(files, text).select(*others, "_judged"), "judged")
 
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    directory = F.regexp_replace(F.col("path"), r"/?[^/]*$", "")
-    speaks = name.rlike(LICENSE_FILE) | (F.col("spoken") >= FILE_SHARE * F.col("words"))
-    heads = F.min(F.struct((-F.col("_score")).alias("minus"), F.col("_license").alias("license")))
-    directories = own.filter(F.col("path").isNotNull() & speaks).groupBy(directory.alias("dir")).agg(heads.alias("d"))
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    directory = F.regexp_replace(F.col(path), r"/?[^/]*$", "")
+    speaks = name.rlike(LICENSE_FILE) | (F.col("_judged.spoken") >= FILE_SHARE * F.col("_judged.words"))
+    own = judged.filter(F.col("_judged.license").isNotNull() & F.col(path).isNotNull() & speaks)
+    heads = F.min(F.struct((-F.col("_judged.score")).alias("minus"), F.col("_judged.license").alias("license")))
+    directories = own.groupBy(directory.alias("dir")).agg(heads.alias("d"))
 
     # Path join: each directory that holds files, with all directories above it.
-    holding = files.filter(F.col(path).isNotNull()).select(
-        F.regexp_replace(F.col(path), r"/?[^/]*$", "").alias("of")
-    ).distinct()
+    holding = judged.filter(F.col(path).isNotNull()).select(directory.alias("of")).distinct()
     parts = F.split("of", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("dir")))
     nearest = (
@@ -277,25 +358,23 @@ def scan_licenses(files: DataFrame, scratch: Scratch, path: str = "path", text:
     nearest = nearest.select(
         F.col("of").alias("_of"), F.col("n.dir").alias("_dir"), F.col("n.d.license").alias("_given"), (-F.col("n.d.minus")).alias("_given_score")
     )
-    rows = (
-        files.select(*others, key.alias("_key"), F.regexp_replace(F.col(path), r"/?[^/]*$", "").alias("_in"))
-        .join(own.select(F.col("key").alias("_key"), "_license", "_score"), "_key", "left")
-        .join(nearest, F.col("_in") == F.col("_of"), "left")
-    )
-    has = F.col("_license").isNotNull()
+    rows = judged.withColumn("_in", directory).join(nearest, F.col("_in") == F.col("_of"), "left")
+    has = F.col("_judged.license").isNotNull()
     return rows.select(
         *others,
-        F.coalesce("_license", "_given").alias("license"),
-        F.coalesce("_score", "_given_score", F.lit(0.0)).alias("score"),
+        F.coalesce("_judged.license", "_given").alias("license"),
+        F.coalesce("_judged.score", "_given_score", F.lit(0.0)).alias("score"),
         has.alias("own"),
         F.when(~has, F.col("_dir")).alias("license_dir"),
+        F.col("_judged.passages").alias("passages"),
     )
 
 
 def license_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as files: a source's are in a directory for each language."""
+    """Documents as files: a source's are in a directory for each language. Null sources and
+    languages are empty names; the result has a row for every document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     place = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
     files = docs.select("doc_id", place.alias("path"), "text")
-    found = scan_licenses(files, Scratch(spark))
+    found = scan_licenses(files, Scratch(spark), keep_text=False)
     return found.select("doc_id", "path", "license", F.round("score", 6).alias("score"), "own", "license_dir")
