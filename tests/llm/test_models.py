@@ -120,6 +120,52 @@ def test_markov_models_tell_random_strings_from_words(spark, documents):
     assert sum(hits[:60]) >= 57 and not any(hits[60:])
 
 
+def plain_markov(text, model):
+    """Runs that overlap no base span and whose steps are likelier in random strings."""
+    base = [(int(x.split(":")[1]), int(x.split(":")[2])) for x in brute_secrets(text)]
+    size, out = len(secret_scan.ALPHABET), []
+    for m in re.finditer(secret_scan.CANDIDATE, text):
+        run = m.group()
+        if run.isdigit() or any(s < m.end() and m.start() < e for s, e in base):
+            continue
+        codes = [secret_scan.ALPHABET.index(c) for c in run]
+        total = sum(model[a * size + b] for a, b in zip(codes, codes[1:], strict=False))
+        if total / (len(run) - 1) >= secret_scan.MIN_RATIO:
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_markov_spans_equal_a_plain_scorer(spark):
+    rng = np.random.default_rng(8)
+    letters = list(secret_scan.ALPHABET)
+    model = [float(x) for x in rng.normal(0.5, 1.0, len(letters) ** 2)]
+    words = ["plain words", "1234567890123456789", "password=", "AKIA" + "Z9" * 9, "0a" * 14, "é", " ", '"', "some_identifier_name"]
+    texts = []
+    for _ in range(60):
+        parts = [str(rng.choice(words)) if rng.random() < 0.5 else "".join(rng.choice(letters, int(rng.integers(3, 40)))) for _ in range(int(rng.integers(1, 30)))]
+        texts.append(str(rng.choice([" ", "\n", ""])).join(parts))
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in secret_scan.scan(frame, model).collect():
+        spans = [(x["start"], x["end"]) for x in row["secrets"] if x["kind"] == secret_scan.MARKOV]
+        assert spans == plain_markov(row["text"], model)
+        base = [f"{x['kind']}:{x['start']}:{x['end']}" for x in row["secrets"] if x["kind"] != secret_scan.MARKOV]
+        assert base == brute_secrets(row["text"])
+
+
+def test_long_runs_and_many_matches_take_linear_time(spark):
+    import time
+
+    rng = np.random.default_rng(9)
+    run = "".join(rng.choice(list(secret_scan.ALPHABET), 1_000_000))
+    many = "token=abcdefg1 " * 50_000 + "Zx9Qy_Zx9Qy_Zx9Qy_Zx9Qy_ \n" * 20_000
+    model = [1.0] * len(secret_scan.ALPHABET) ** 2
+    frame = spark.createDataFrame([(run,), (many,)], "text string")
+    started = time.perf_counter()
+    found = secret_scan.scan(frame, model).select(F.size("secrets").alias("n")).collect()
+    assert sorted(r["n"] for r in found) == [1, 70_000]
+    assert time.perf_counter() - started < 60
+
+
 def test_secret_edges(spark):
     docs = spark.createDataFrame([(1, "token=abcdef"), (2, None), (3, "")], "secrets long, text string")
     assert secret_scan.fit(docs.limit(0)) is None

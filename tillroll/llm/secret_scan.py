@@ -8,6 +8,7 @@ lengths of pieces and matches, summed up, are the positions in code points.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,29 +31,92 @@ WORD = r"[A-Za-z_]{6,}"
 TRAIN_STRINGS = 20_000
 TRAIN_DOCS = 2_000
 SMOOTHING = 0.5
+# Numbers summed as one run.
+RUN_BITS = 8
 # A candidate is a secret if each step is this much likelier in a random string, on average.
 MIN_RATIO = 0.5
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda s, x: s + x)
+
+
+def _before(numbers: Column) -> Column:
+    """The sum of all numbers before each one. Sums of runs first, so that a long array takes
+    little more than the time of its length."""
+    low = F.lit((1 << RUN_BITS) - 1)
+
+    def of(known: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(known) - 1, F.lit(0)), F.lit(1 << RUN_BITS))
+        runs = F.transform(starts, lambda i: _sum(F.slice(known, i + 1, 1 << RUN_BITS)))
+        return _let(runs, lambda sums: _let(of_runs(sums), lambda heads: each(known, heads)))
+
+    def of_runs(sums: Column) -> Column:
+        return F.transform(sums, lambda _, j: _sum(F.slice(sums, 1, j)))
+
+    def each(known: Column, heads: Column) -> Column:
+        first = lambda i: F.shiftleft(F.shiftright(i, RUN_BITS), RUN_BITS) + 1
+        return F.transform(
+            known,
+            lambda _, i: F.element_at(heads, F.shiftright(i, RUN_BITS) + 1) + _sum(F.slice(known, first(i), i.bitwiseAND(low))),
+        )
+
+    return _let(numbers, of)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """(start, end, match) of all leftmost matches that do not overlap, in order."""
-    # One match and the piece before it at a time; texts without a match are not split.
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(found.alias("match"), F.slice(pieces, 1, F.size(found)).alias("piece"))
     span = "struct<start:int,end:int,match:string>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["piece"])
-        end = start + F.length(x["match"])
-        own = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
+    def parts(found: Column) -> Column:
+        """Each match with the length of the piece before it."""
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        return F.zip_with(found, pieces, lambda m, p: F.struct(F.length(p).alias("before"), F.length(m).alias("size"), m.alias("match")))
+
+    def placed(known: Column) -> Column:
+        at = _before(F.transform(known, lambda x: x["before"] + x["size"]))
+        return F.zip_with(
+            known,
+            at,
+            lambda x, a: F.struct(
+                (a + x["before"]).alias("start"), (a + x["before"] + x["size"]).alias("end"), x["match"].alias("match")
+            ),
+        )
 
-    spans = F.aggregate(zipped, empty, step, lambda s: s["spans"])
+    # Texts without a match are not split.
+    spans = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: _let(parts(found), placed))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{span}>"))
 
 
+def _overlaps(spans: Column, m: Column) -> Column:
+    """Whether one of some spans, in order and apart from each other, overlaps another: by binary
+    search for the last one that starts before its end."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(spans) + 1)).cast("int") + 1)
+    whole = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"] + 1, 1)
+        before = F.coalesce(F.get(spans, middle - 1)["start"] < m["end"], F.lit(False))
+        open_ = state["low"] < state["high"]
+        return F.struct(
+            F.when(open_ & before, middle).otherwise(state["low"]).alias("low"),
+            F.when(open_ & ~before, middle - 1).otherwise(state["high"]).alias("high"),
+        )
+
+    last = F.aggregate(steps, whole, halve, lambda s: s["low"])
+    return F.coalesce(F.get(spans, last - 1)["end"] > m["start"], F.lit(False))
+
+
+def _letters(string: Column) -> Column:
+    """The characters of a text, split once."""
+    return F.filter(F.split(string, ""), lambda c: c != "")
+
+
 def _assigned(match: Column) -> Column:
     """The value of an assignment, matched again by itself."""
     return F.regexp_extract(match, ASSIGN, 2)
@@ -68,11 +132,13 @@ def _base(text: Column) -> dict[str, Column]:
 
 def _transitions(strings: DataFrame) -> dict[tuple[int, int], int]:
     """How often each character follows each other one; bounded by the alphabet."""
-    steps = F.transform(
-        F.sequence(F.lit(1), F.length("s") - 1),
-        lambda i: F.struct(F.substring(F.col("s"), i, F.lit(1)).alias("a"), F.substring(F.col("s"), i + 1, F.lit(1)).alias("b")),
-    )
-    pairs = strings.filter(F.length("s") > 1).select(F.explode(steps).alias("p"))
+    def steps(letters: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(letters) - 1),
+            lambda i: F.struct(F.element_at(letters, i).alias("a"), F.element_at(letters, i + 1).alias("b")),
+        )
+
+    pairs = strings.filter(F.length("s") > 1).select(F.explode(_let(_letters(F.col("s")), steps)).alias("p"))
     code = lambda c: F.instr(F.lit(ALPHABET), F.col(c))
     counts = pairs.select(code("p.a").alias("a"), code("p.b").alias("b")).filter("a > 0 and b > 0").groupBy("a", "b").count()
     return {(r["a"], r["b"]): r["count"] for r in counts.collect()}
@@ -116,12 +182,13 @@ def fit(docs: DataFrame) -> list[float] | None:
 
 def _mean_ratio(string: Column, model: Column) -> Column:
     size = len(ALPHABET)
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(string, i, F.lit(1)))
-    steps = F.sequence(F.lit(1), F.length(string) - 1)
-    total = F.aggregate(
-        steps, F.lit(0.0), lambda s, i: s + F.element_at(model, (code(i) - 1) * size + code(i + 1))
-    )
-    return total / (F.length(string) - 1)
+    codes = F.transform(_letters(string), lambda c: F.instr(F.lit(ALPHABET), c))
+
+    def total(known: Column) -> Column:
+        step = lambda i: (F.element_at(known, i) - 1) * size + F.element_at(known, i + 1)
+        return F.aggregate(F.sequence(F.lit(1), F.size(known) - 1), F.lit(0.0), lambda s, i: s + F.element_at(model, step(i)))
+
+    return _let(codes, total) / (F.length(string) - 1)
 
 
 def _listed(kind: str, nth: int) -> Column:
@@ -138,7 +205,8 @@ def scan(docs: DataFrame, model: list[float] | None, text: str = "text") -> Data
 
     Positions are code points, ends exclusive; matches of one kind do not overlap. A markov span
     is a run of 16 or more characters of the alphabet, not of digits alone, that overlaps no base
-    span and whose steps are likelier in a random string. A null text is empty and has none.
+    span and whose steps are likelier in a random string. A null text is empty and has none. Long
+    texts, runs and lists of matches take little more than the time of their length.
     Rows are judged by their text alone, so nulls and repeats elsewhere make no difference.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -149,10 +217,11 @@ def scan(docs: DataFrame, model: list[float] | None, text: str = "text") -> Data
     else:
         ratios = F.array(*(F.lit(x) for x in model))
         found = found.withColumn("_model", ratios).withColumn("_candidates", _matches(whole, CANDIDATE))
-        taken = F.concat(*(F.col(f"_{kind}") for kind in BASE_KINDS))
         secret = F.filter(
             "_candidates",
-            lambda m: ~F.exists(taken, lambda t: (t["start"] < m["end"]) & (m["start"] < t["end"]))
+            lambda m: ~_overlaps(F.col("_assign"), m)
+            & ~_overlaps(F.col("_access"), m)
+            & ~_overlaps(F.col("_hex"), m)
             & ~m["match"].rlike("^[0-9]+$")
             & (_mean_ratio(m["match"], F.col("_model")) >= MIN_RATIO),
         )
