@@ -378,7 +378,7 @@ def test_neighbours_edges(spark, scratch):
     table = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("rank", F.lit("x"))
     got = ann.nearest(table, F.col("vec_id") % 100 == 0, scratch).orderBy("rank").collect()
     assert {r.query_id for r in got} == {100}
-    assert [(r.vec_id, r.score) for r in got] == [(3, 0.0), (2, 1.0), (4, 1.0), (1, 2.0), (5, 2.0), (6, 3.0), (7, 4.0)]
+    assert [(r.vec_id, r.score) for r in got] == [(3, 0.0), (3, 0.0), (2, 1.0), (4, 1.0), (1, 2.0), (5, 2.0), (6, 3.0), (7, 4.0)]
     assert ann.nearest(table.limit(0), F.col("vec_id") % 100 == 0, scratch).count() == 0
 
 
@@ -404,3 +404,37 @@ def test_joins_go_on_until_the_graph_is_whole(spark, scratch, monkeypatch):
     truth = {50 * i: set(np.argsort(row)[: ann.NEIGHBOURS].tolist()) for i, row in enumerate(squared)}
     near = graph.groupby("node")["near"].agg(set)
     assert np.mean([len(near[i] & t) / len(t) for i, t in truth.items()]) > 0.99
+
+
+def plain_neighbours(data, k=10):
+    """(query_id, rank, vec_id, score) of every row whose id 100 divides, against all other rows."""
+    out = []
+    for i, (name, own) in enumerate(data):
+        if name % 100 == 0:
+            others = sorted((sum((a - b) ** 2 for a, b in zip(own, v, strict=True)) ** 0.5, m) for j, (m, v) in enumerate(data) if j != i)
+            out += [(name, rank, m, score) for rank, (score, m) in enumerate(others[:k], 1)]
+    return out
+
+
+def same_neighbours(found, wanted):
+    pairs = zip(sorted(map(tuple, found)), sorted(wanted), strict=True)
+    return all(a[:3] == b[:3] and np.isclose(a[3], b[3], rtol=1e-12) for a, b in pairs)
+
+
+def test_rows_that_repeat_ids_and_vectors_are_rows_of_their_own(spark, scratch):
+    rng = np.random.default_rng(11)
+    data = [(n, [float(x) for x in rng.integers(-9, 9, 3)]) for n in range(1, 40)]
+    data += [(100, [1.0, 2.0, 3.0]), (100, [1.0, 2.0, 3.0]), (100, [-5.0, 0.0, 2.0]), (200, [1.0, 2.0, 3.0]), (7, data[6][1]), (7, data[6][1])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = ann.nearest(frame, F.col("vec_id") % 100 == 0, scratch)
+    assert found.count() == 4 * 10
+    assert same_neighbours(found.collect(), plain_neighbours(data))
+
+
+def test_numbers_beyond_floats_keep_their_order(spark, scratch):
+    rng = np.random.default_rng(12)
+    for size in (1e120, 1e-120):
+        data = [(n * 20, [float(x) * size for x in rng.normal(0, 1, 4)]) for n in range(50)]
+        frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+        found = ann.nearest(frame, F.col("vec_id") % 100 == 0, scratch, k=5)
+        assert same_neighbours(found.collect(), plain_neighbours(data, 5))
