@@ -206,6 +206,19 @@ def _unchanged(changed: dict[str, str]) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "colocated_star": _sql("SELECT * EXCLUDE (fact_id) FROM fact_sales", "fact_sales"),
+    "stable_date_keys": _sql("""
+        SELECT CAST(row_number() OVER (ORDER BY (invoice_date >= TIMESTAMP '1995-01-01') DESC NULLS LAST,
+                                       invoice_date NULLS LAST) AS INT) AS invoice_date_id,
+               invoice_date, day, month, year, weekday
+        FROM dates""", "dates"),
+    "catalog_star": _sql("""
+        SELECT state, c.country, d.year, CAST(count(*) AS BIGINT) AS n_lines,
+               CAST(sum(f.unit_price + cent) AS DECIMAL(18,2)) AS prices
+        FROM fact_sales f JOIN dim_customer c USING (customer_id) JOIN dim_date d USING (invoice_date_id),
+             (VALUES ('then', CAST(0 AS DECIMAL(3,2))), ('now', CAST(0.01 AS DECIMAL(3,2)))) states(state, cent)
+        GROUP BY state, c.country, d.year""", "fact_sales"),
+    "compacted_log": _sql("SELECT *, 1 AS n_files FROM latest_events", "latest_events"),
     "rejected_casts": _PLANTED + """
         SELECT l_orderkey, l_linenumber, q.cell AS quantity, d.cell AS invoice_date, p.cell AS unit_price,
                c.cell AS customer_id, faults

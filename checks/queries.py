@@ -5,6 +5,7 @@ Load times and batch ids are left out of the results: they differ from run to ru
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,8 +15,9 @@ from checks.order_lines import order_lines
 from tillroll import operators, plans, schemas
 from tillroll.functions import DATE_PARTS, return_flag, total_amount
 from tillroll.plans.runner import run_pipeline
-from tillroll.scratch import Scratch
+from tillroll.scratch import Scratch, list_files
 from tillroll.sources import audit
+from tillroll.sources.buckets import dimension_buckets, line_buckets
 from tillroll.sources.landing import read_landing, write_landing
 from tillroll.sources.warehouse import ConstraintError, Warehouse
 
@@ -263,6 +265,46 @@ def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def colocated_star(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact without its number, joined from buckets."""
+    valid, scratch = _stored_valid(spark, folder)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = line_buckets(valid, "customer_id", ["invoice_no", "stock_code"], buckets, scratch.new_path("lines"))
+    customers = dimension_buckets(plans.build_dim_customer(valid), "customer_id", buckets, scratch.new_path("customers"))
+    dates = scratch.cut(plans.build_dim_date(valid, scratch), "dim_date")
+    products = scratch.cut(plans.build_dim_product(valid), "dim_product")
+    return plans.build_colocated_fact(lines, dates, products, customers, scratch)
+
+
+def stable_date_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Date keys after a batch of the later lines, and then one of all lines, which brings
+    earlier dates."""
+    valid, scratch = _stored_valid(spark, folder)
+    later = valid.filter(F.col("invoice_date") >= F.lit("1995-01-01").cast("timestamp_ntz"))
+    first = scratch.cut(plans.build_dim_date(later, scratch), "dim_date")
+    return plans.extend_dim_date(first, valid, scratch)
+
+
+def catalog_star(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales by country and year, by table names: of the first batch, pinned, and of the current
+    one, whose prices are a cent higher."""
+    mark = uuid.uuid4().hex[:8]
+    warehouse = Warehouse(spark, Scratch(spark).new_path("warehouse"), f"t{mark}_")
+    sheet = _sheet(spark, folder)
+    first = run_pipeline(spark, sheet, warehouse.root)
+    warehouse.pin(first.batch_id, f"pinned_{mark}")
+    raised = (F.col("UnitPrice").cast("decimal(12,3)") + F.lit("0.01").cast("decimal(3,2)")).cast("string")
+    run_pipeline(spark, sheet.withColumn("UnitPrice", raised), warehouse.root)
+    warehouse.create_layers()
+    totals = """
+        SELECT '{state}' AS state, c.country, d.year, count(*) AS n_lines,
+               CAST(sum(f.unit_price) AS decimal(18,2)) AS prices
+        FROM {at}.fact_sales f JOIN {at}.dim_customer c USING (customer_id) JOIN {at}.dim_date d USING (invoice_date_id)
+        GROUP BY c.country, d.year"""
+    now, then = f"t{mark}_business", f"pinned_{mark}"
+    return spark.sql(totals.format(state="now", at=now) + " UNION ALL " + totals.format(state="then", at=then))
+
+
 # -- constraints -----------------------------------------------------------------------------
 
 
@@ -435,6 +477,19 @@ def _differences(warehouse: Warehouse) -> DataFrame:
     return found.select("layer", F.col("table").alias("table_name"), "row_count_before", "row_count", F.array_join("changed", ",").alias("changed"))
 
 
+def compacted_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Current states from a log of many files, after these have been put into one."""
+    log = audit.AuditLog(spark, Scratch(spark).new_path("log"))
+    events = _load_events(spark, folder)
+    columns = [c.name for c in schemas.LOAD_EVENTS.columns]
+    filled = events.select(*(F.col(c) if c in events.columns else F.lit(None).cast("string").alias(c) for c in columns))
+    filled.repartition(60, "seq").write.parquet(log.path)
+    log.compact()
+    n_files = len(list_files(spark, log.path, ".parquet"))
+    latest = audit.audit_latest(log.events()).drop("file_name", "fingerprint")
+    return latest.withColumnRenamed("table", "table_name").withColumn("n_files", F.lit(n_files))
+
+
 def stage_durations(spark: SparkSession, folder: str) -> DataFrame:
     durations = audit.stage_durations(_load_events(spark, folder))
     return durations.withColumnRenamed("table", "table_name")
@@ -480,6 +535,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_customer": lookup_customer,
     "fact_sales": fact_sales,
     "published_star": published_star,
+    "colocated_star": colocated_star,
+    "stable_date_keys": stable_date_keys,
+    "catalog_star": catalog_star,
+    "compacted_log": compacted_log,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
     "null_violations": null_violations,

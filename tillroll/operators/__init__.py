@@ -12,7 +12,7 @@ from tillroll.operators.cleanse import (
     standardize_text,
 )
 from tillroll.operators.fingerprint import fingerprint_checks, read_fingerprint
-from tillroll.operators.keys import assign_dense_key
+from tillroll.operators.keys import assign_dense_key, extend_dense_key
 from tillroll.operators.lookup import known_only, lookup
 from tillroll.operators.quality import (
     distinct_dense_keys,
@@ -34,6 +34,7 @@ __all__ = [
     "conform",
     "dedupe",
     "distinct_dense_keys",
+    "extend_dense_key",
     "fingerprint_checks",
     "fk_violations",
     "length_violations",

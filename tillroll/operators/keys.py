@@ -44,3 +44,19 @@ def assign_dense_key(
         .withColumn(name, (row + F.col("_offset") + 1).cast(dtype))
         .select(name, *df.columns)
     )
+
+
+def extend_dense_key(
+    known: DataFrame, df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, scratch: Scratch, dtype: str = "bigint"
+) -> DataFrame:
+    """``known``, whose rows are numbered 1..n, and the rows of ``df`` whose keys it lacks, numbered
+    n+1.. in ``order``. Missing key parts are equal. Give a stored ``known``: it is read twice."""
+    same = [F.col(f"_new.{k}").eqNullSafe(F.col(f"_known.{k}")) for k in keys]
+    condition = same[0]
+    for more in same[1:]:
+        condition = condition & more
+    fresh = df.alias("_new").join(known.select(*keys).alias("_known"), condition, "left_anti")
+    numbered = assign_dense_key(fresh, order, "_number", scratch)
+    highest = known.agg(F.max(name)).first()[0] or 0
+    added = numbered.withColumn(name, (F.col("_number") + highest).cast(dtype))
+    return known.select(name, *df.columns).unionByName(added.select(name, *df.columns))

@@ -7,12 +7,20 @@ from tillroll.plans.dimensions import (
     customer_main_country,
     description_counts,
     distinct_dates,
+    extend_dim_date,
+)
+from tillroll.plans.fact import (
+    build_colocated_fact,
+    build_fact,
+    lookup_customer,
+    lookup_date_key,
+    lookup_product,
 )
-from tillroll.plans.fact import build_fact, lookup_customer, lookup_date_key, lookup_product
 from tillroll.plans.staging import build_clean, build_raw, build_valid, split_clean
 
 __all__ = [
     "build_clean",
+    "build_colocated_fact",
     "build_dim_customer",
     "build_dim_date",
     "build_dim_product",
@@ -24,6 +32,7 @@ __all__ = [
     "customer_main_country",
     "description_counts",
     "distinct_dates",
+    "extend_dim_date",
     "lookup_customer",
     "lookup_date_key",
     "lookup_product",

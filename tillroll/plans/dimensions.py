@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import DATE_PARTS
-from tillroll.operators import assign_dense_key, top_n_per_group
+from tillroll.operators import assign_dense_key, extend_dense_key, top_n_per_group
 from tillroll.scratch import Scratch
 
 
@@ -72,3 +72,10 @@ def distinct_dates(valid: DataFrame) -> DataFrame:
 def build_dim_date(valid: DataFrame, scratch: Scratch) -> DataFrame:
     order = [F.asc_nulls_last("invoice_date")]
     return assign_dense_key(distinct_dates(valid), order, "invoice_date_id", scratch, "int")
+
+
+def extend_dim_date(dim_date: DataFrame, valid: DataFrame, scratch: Scratch) -> DataFrame:
+    """``dim_date`` with the dates of ``valid`` it lacks. Known dates keep their keys, so facts
+    that refer to them stay right; new ones go on from the highest, in their order."""
+    order = [F.asc_nulls_last("invoice_date")]
+    return extend_dense_key(dim_date, distinct_dates(valid), ["invoice_date"], order, "invoice_date_id", scratch, "int")

@@ -9,6 +9,7 @@ from tillroll.functions import return_flag, total_amount
 from tillroll.operators import assign_dense_key, known_only, lookup
 from tillroll.schemas import DEDUPE_KEYS
 from tillroll.scratch import Scratch
+from tillroll.sources.buckets import PART, join_buckets
 
 
 def lookup_date_key(lines: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -48,8 +49,22 @@ def build_fact(
     lines = lookup_customer(lines, dim_customer, scratch)
     order = [F.asc_nulls_last(c) for c in DEDUPE_KEYS]
     numbered = lookup_date_key(assign_dense_key(lines, order, "fact_id", scratch), dim_date)
-    return numbered.select(
-        "fact_id",
+    return _measured(numbered, "fact_id")
+
+
+def build_colocated_fact(
+    lines: DataFrame, dim_date: DataFrame, dim_product: DataFrame, customers: DataFrame, scratch: Scratch
+) -> DataFrame:
+    """The fact without its number, from lines and customers in the same buckets
+    (``sources.buckets``). No line is shuffled while the dates can be broadcast."""
+    known = join_buckets(lines, customers.select("customer_id", PART), "customer_id")
+    known = lookup_product(known, dim_product, scratch)
+    return _measured(lookup_date_key(known, dim_date))
+
+
+def _measured(lines: DataFrame, *first: str) -> DataFrame:
+    return lines.select(
+        *first,
         "invoice_no",
         "stock_code",
         "customer_id",

@@ -74,3 +74,13 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     if not filesystem.exists(hadoop_path):
         return []
     return sorted(s.getPath().getName() for s in filesystem.listStatus(hadoop_path) if s.isDirectory())
+
+
+def list_files(spark: SparkSession, path: str, ending: str) -> list[str]:
+    """Paths of the files directly in ``path`` whose names end so; none if it does not exist."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(hadoop_path):
+        return []
+    files = [s.getPath() for s in filesystem.listStatus(hadoop_path) if s.isFile()]
+    return sorted(f.toString() for f in files if f.getName().endswith(ending) and f.getName()[0] not in "._")
