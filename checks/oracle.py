@@ -218,6 +218,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM fact_sales f JOIN dim_customer c USING (customer_id) JOIN dim_date d USING (invoice_date_id),
              (VALUES ('then', CAST(0 AS DECIMAL(3,2))), ('now', CAST(0.01 AS DECIMAL(3,2)))) states(state, cent)
         GROUP BY state, c.country, d.year""", "fact_sales"),
+    "resumed_batch": _sql(f"""
+        SELECT *, CAST(CASE layer WHEN 'business' THEN 2 ELSE 1 END AS BIGINT) AS n_starts FROM ({_COUNTS})""",
+        "fact_sales"),
     "compacted_log": _sql("SELECT *, 1 AS n_files FROM latest_events", "latest_events"),
     "rejected_casts": _PLANTED + """
         SELECT l_orderkey, l_linenumber, q.cell AS quantity, d.cell AS invoice_date, p.cell AS unit_price,

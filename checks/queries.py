@@ -5,8 +5,10 @@ Load times and batch ids are left out of the results: they differ from run to ru
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
+from unittest import mock
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from checks.order_lines import order_lines
 from tillroll import operators, plans, schemas
 from tillroll.functions import DATE_PARTS, return_flag, total_amount
+from tillroll.plans import runner
 from tillroll.plans.runner import run_pipeline
 from tillroll.scratch import Scratch, list_files
 from tillroll.sources import audit
@@ -477,6 +480,20 @@ def _differences(warehouse: Warehouse) -> DataFrame:
     return found.select("layer", F.col("table").alias("table_name"), "row_count_before", "row_count", F.array_join("changed", ",").alias("changed"))
 
 
+def resumed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """States and number of starts of all tables after a batch whose fact was lost, and was resumed."""
+    scratch = Scratch(spark)
+    warehouse, landing = Warehouse(spark, scratch.new_path("warehouse")), scratch.new_path("landing")
+    _sheet(spark, folder).write.parquet(landing)
+    with mock.patch.object(runner, "build_fact", side_effect=RuntimeError("lost")), contextlib.suppress(RuntimeError):
+        run_pipeline(spark, landing, warehouse.root, fmt="parquet")
+    run_pipeline(spark, landing, warehouse.root, fmt="parquet", resume=True)
+    events = audit.stage_events(warehouse.log.events())
+    starts = events.filter(F.col("status") == audit.STARTED).groupBy("layer", "table").agg(F.count(F.lit(1)).alias("n_starts"))
+    states = audit.audit_latest(events).join(starts, ["layer", "table"])
+    return states.select("layer", F.col("table").alias("table_name"), "status", "row_count", "n_starts")
+
+
 def compacted_log(spark: SparkSession, folder: str) -> DataFrame:
     """Current states from a log of many files, after these have been put into one."""
     log = audit.AuditLog(spark, Scratch(spark).new_path("log"))
@@ -539,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stable_date_keys": stable_date_keys,
     "catalog_star": catalog_star,
     "compacted_log": compacted_log,
+    "resumed_batch": resumed_batch,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
     "null_violations": null_violations,

@@ -2,9 +2,12 @@
 
 import datetime
 
+import pytest
+
 from tests.conftest import at, rows
 from tests.test_batch import SHEET
 from tillroll import operators, plans, schemas
+from tillroll.plans import runner
 from tillroll.plans.runner import run_pipeline
 from tillroll.scratch import list_files
 from tillroll.sources import audit
@@ -102,6 +105,41 @@ def test_files_of_a_long_log_stay_few(spark, scratch, monkeypatch):
     assert rows(states.select("batch_id", "row_count")) == [(f"b{n}", n) for n in range(9)]
 
 
+def test_a_failed_batch_is_resumed_where_it_stopped(spark, sheet, tmp_path, monkeypatch):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "dwh")
+    sheet(*SHEET).write.parquet(landing)
+    warehouse = Warehouse(spark, root)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    def run(resume):
+        return run_pipeline(spark, landing, root, fmt="parquet", resume=resume)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runner, "build_fact", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(resume=True)  # nothing to resume: a new batch
+    batch = run(resume=True)
+    assert batch.row_counts == dict(
+        raw_orders=6, stg_orders_raw_clean=6, stg_orders_valid=4, dim_customer=3, dim_product=3, dim_date=4, fact_sales=3,
+    )
+    events = audit.stage_events(warehouse.log.events())
+    assert events.select("batch_id").distinct().count() == 1
+    assert rows(events.filter("status = 'STARTED'").groupBy("layer").count()) == [("business", 8), ("raw", 1), ("staging", 2)]
+    assert audit.audit_latest(events).filter("status <> 'SUCCESS'").isEmpty()
+    # The last batch has succeeded, so the next one is new; and so is one over other files.
+    assert run(resume=True).batch_id != batch.batch_id
+    with monkeypatch.context() as patch:
+        patch.setattr(runner, "build_fact", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(resume=False)
+    sheet(SHEET[0]).write.mode("append").parquet(landing)
+    assert run(resume=True).row_counts["raw_orders"] == 7
+    with pytest.raises(ValueError, match="folder"):
+        run_pipeline(spark, sheet(*SHEET), root, resume=True)
+
+
 def test_pinned_tables_stay_with_their_batch(spark, sheet, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path), "pin_test_")
     first = run_pipeline(spark, sheet(*SHEET), str(tmp_path))

@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--keep-snapshots", type=int, default=2, help="older snapshots are deleted; 0 keeps all")
     parser.add_argument("--take-over", action="store_true", help="end an open batch whose process died")
     parser.add_argument("--quarantine", action="store_true", help="set rows with bad cells aside instead of failing")
+    parser.add_argument("--resume", action="store_true", help="go on with the last batch if it failed on the same files")
     args = parser.parse_args(argv)
 
     # A session of its own: the settings below are for this batch.
@@ -53,6 +54,7 @@ def main(argv: list[str] | None = None) -> None:
         keep_snapshots=args.keep_snapshots or None,
         take_over=args.take_over,
         quarantine=args.quarantine,
+        resume=args.resume,
     )
     events = Warehouse(spark, args.warehouse).log.events().filter(f"batch_id = '{batch.batch_id}'")
     for layer in LOG_LAYERS:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
@@ -9,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import schemas
-from tillroll.operators import rename_columns
+from tillroll.operators import fingerprint_checks, read_fingerprint, rename_columns
 from tillroll.plans.dimensions import build_dim_customer, build_dim_date, build_dim_product
 from tillroll.plans.fact import build_fact
 from tillroll.plans.staging import build_clean, build_raw, build_valid, split_clean
@@ -60,6 +61,13 @@ def run_stages(
     return written
 
 
+def _read_state(spark: SparkSession, folder: str, *how: object) -> str:
+    """What a batch reads: names, sizes and times of the files, and how they are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length", "modificationTime")
+    state = files.agg(*(c.alias(n) for n, c in fingerprint_checks(files.columns).items())).first().asDict()
+    return json.dumps([folder, *how, read_fingerprint(state, files.columns)])
+
+
 def run_pipeline(
     spark: SparkSession,
     source: str | DataFrame,
@@ -71,6 +79,7 @@ def run_pipeline(
     keep_snapshots: int | None = 2,
     take_over: bool = False,
     quarantine: bool = False,
+    resume: bool = False,
 ) -> Batch:
     """Load all tables of the warehouse at ``root`` from the order sheets at ``source``.
 
@@ -82,13 +91,22 @@ def run_pipeline(
     may be open: ``take_over`` ends one whose process died. A cell that does not fit its type
     fails the batch; with ``quarantine``, its row goes to ``staging.stg_orders_refused`` instead,
     with all of its faults, published together with the clean table.
+
+    ``resume`` goes on with the last batch, if that failed and has read the same files in the
+    same way: its tables that are loaded are taken over, and only the others are built. If there
+    is no such batch, a new one starts. It needs a folder, whose files can be compared.
     """
     require_session(spark)
     warehouse = Warehouse(spark, root)
-    batch = Batch(str(uuid.uuid4()))
-    opened = warehouse.log.open_batch(batch.batch_id, take_over)
-    scratch = Scratch(spark)
     file_name = source if isinstance(source, str) else None
+    if resume and file_name is None:
+        raise ValueError("only a batch that reads a folder can be resumed")
+    read = None if file_name is None else _read_state(spark, file_name, fmt, multi_line, timestamp_format, quarantine)
+    failed = warehouse.log.failed_batch(read) if resume else None
+    batch = Batch(failed or str(uuid.uuid4()))
+    taken_over = warehouse.loaded(batch.batch_id) if failed else {}
+    opened = warehouse.log.open_batch(batch.batch_id, take_over, read)
+    scratch = Scratch(spark)
 
     def landed() -> DataFrame:
         if isinstance(source, DataFrame):
@@ -96,6 +114,9 @@ def run_pipeline(
         return read_landing(spark, source, fmt, multi_line=multi_line)
 
     def stage(*builds, file_name: str | None = None, proven_keys: Collection[str] = ()) -> dict[str, DataFrame]:
+        if all(table.name in taken_over for table, _ in builds):
+            batch.row_counts.update({table.name: taken_over[table.name] for table, _ in builds})
+            return {table.name: warehouse.read(table, batch.batch_id) for table, _ in builds}
         return run_stages(warehouse, batch, list(builds), file_name, verify_keys, proven_keys)
 
     try:
