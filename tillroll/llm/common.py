@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from tillroll.scratch import Scratch
 
+# Hashes are counted by so many bits at a time, and ranked once so few are left.
+CELL_BITS, CELL = 12, 1 << 14
+# Of a longer text of a training sample, so many characters are learned from.
+TRAIN_CHARS = 1 << 18
+
 # ASCII blanks: what separates words unless an operator says otherwise.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -53,31 +58,53 @@ def release_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def _hash_limits(slim: DataFrame, by: list[str], size: int) -> DataFrame:
+    """(by, _limit): the ``size``-th smallest ``_hash`` of each group that has so many.
+
+    Counts by the first bits of the hashes show the cell in which it lies; that cell is divided by
+    the next bits, until it is small. Only the hashes of the last cell are ranked, so no task
+    gets more of a group than its cells or ``CELL`` hashes, however many the group has.
+    """
+    rest = slim.select(*by, "_hash", F.lit(0).cast("long").alias("_below"))
+    for shift in range(64 - CELL_BITS, 0, -CELL_BITS):
+        cells = rest.groupBy(*by, "_below", F.shiftright("_hash", shift).alias("_cell")).agg(F.count(F.lit(1)).alias("_k"))
+        earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.col("_below") + F.coalesce(F.sum("_k").over(earlier), F.lit(0))
+        edges = cells.withColumn("_before", before).filter((F.col("_before") < size) & (F.col("_before") + F.col("_k") >= size))
+        # One row for each group.
+        edges = F.broadcast(edges.select(*(F.col(c).alias(f"_of_{c}") for c in by), "_cell", "_before", "_k"))
+        inside = F.shiftright("_hash", shift) == F.col("_cell")
+        for c in by:
+            inside = inside & (F.col(c) == F.col(f"_of_{c}"))
+        joined = rest.drop("_below").join(edges, inside).select(*by, "_hash", F.col("_before").alias("_below"), "_k")
+        rest = joined.drop("_k")
+        if (joined.agg(F.max("_k")).first()[0] or 0) <= CELL:
+            break
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("_hash"))
+    return rest.withColumn("_nth", nth + F.col("_below")).filter(F.col("_nth") == size).select(*by, F.col("_hash").alias("_limit"))
+
+
 def hash_sample(docs: DataFrame, hashed: Column, by: list[str], size: int, groups: int) -> DataFrame:
     """Rows of ``docs`` for training: of each group of the columns ``by`` (none may be null), those
     with the ``size`` smallest different hashes, one row for each hash.
 
-    At most ``groups`` groups, the most frequent ones, take part. Only hashes are ranked; the
+    At most ``groups`` groups, the most frequent ones, take part. Only hashes are counted; the
     limits, one number per group, then filter the rows.
     """
     slim = docs.select(*by, hashed.alias("_hash")).groupBy(*by, "_hash").agg(F.count(F.lit(1)).alias("_n"))
-    if by:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("_hash"))
-        first = slim.withColumn("_nth", place).filter(F.col("_nth") <= size)
-    else:
-        first = slim.orderBy("_hash").limit(size)
-    limits = first.groupBy(*by).agg(F.max("_hash").alias("_limit"))
+    limits = _hash_limits(slim, by, size)
     if by:
         frequent = slim.groupBy(*by).agg(F.sum("_n").alias("_n")).orderBy(F.desc("_n"), *by).limit(groups)
-        limits = limits.join(frequent, by)
+        limits = frequent.join(limits, by, "left")
     within = F.lit(False)
-    for row in limits.collect():  # bounded by groups
-        if row["_limit"] is not None:
-            same = [F.col(c) == F.lit(row[c]) for c in by]
-            condition = hashed <= F.lit(row["_limit"])
-            for equal in same:
-                condition = condition & equal
-            within = within | condition
+    found = limits.collect()  # bounded by groups
+    if not by and not found:
+        within = F.lit(True)  # fewer than ``size``
+    for row in found:
+        condition = F.lit(True) if row["_limit"] is None else hashed <= F.lit(row["_limit"])
+        for c in by:
+            condition = condition & (F.col(c) == F.lit(row[c]))
+        within = within | condition
     picked = docs.filter(within).withColumn("_hash", hashed)
     return picked.dropDuplicates([*by, "_hash"]).drop("_hash")
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import hash_sample, release_memory
+from tillroll.llm.common import TRAIN_CHARS, hash_sample, release_memory
 
 BUCKET_BITS = 17
 CHAIN = 64
@@ -262,7 +262,7 @@ def sample_for_training(docs: DataFrame, usable=None) -> DataFrame:
     size = TRAIN_DOCS_PER_LANGUAGE
     if languages > MANY_LANGUAGES:
         size = max(LEAST_DOCS_PER_LANGUAGE, size * MANY_LANGUAGES // languages)
-    return hash_sample(rows, F.xxhash64("text"), ["lang"], size, MAX_LANGUAGES).select("text", "lang")
+    return hash_sample(rows, F.xxhash64("text"), ["lang"], size, MAX_LANGUAGES).select(F.left("text", F.lit(TRAIN_CHARS)).alias("text"), "lang")
 
 
 def fit(docs: DataFrame, usable=None) -> LanguageModel:

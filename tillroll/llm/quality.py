@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import hash_sample
+from tillroll.llm.common import TRAIN_CHARS, hash_sample
 from tillroll.llm.decontaminate import _FOLD
 from tillroll.llm.near_dup import _pieces, _word_hashes
 from tillroll.scratch import Scratch
@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     wanted = docs.select("doc_id", "text").filter(F.col("doc_id").isin(list(picked)))
     sample = [
         {**picked[r["doc_id"]].asDict(), "text": r["text"]}
-        for r in wanted.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+        # Of several texts under one id, the first by text.
+        for r in wanted.groupBy("doc_id").agg(F.min("text").alias("text")).select("doc_id", F.left("text", F.lit(TRAIN_CHARS)).alias("text")).orderBy("doc_id").collect()
     ]
     texts = [None if r["text"] is None else r["text"].encode("utf-8") for r in sample]
     return train(texts, np.array([[float(r[t]) for t in TARGETS] for r in sample]).reshape(-1, len(TARGETS)))
