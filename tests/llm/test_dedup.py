@@ -53,6 +53,31 @@ def test_line_dedup_equals_brute_force(spark, scratch, seed):
     assert rows(found.select("doc_id", "text")) == sorted([(d[0], expected[d]) for d in docs], key=repr)
 
 
+def test_short_lines_go_if_they_are_frequent(spark, scratch):
+    footer, rare, tiny = "all of this may be shared freely", "a line of just five", "too short"
+    docs = [(n, "\n".join([f"text number {n}", footer, tiny, rare if n % 25 == 0 else f"end {n}", footer])) for n in range(60)]
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame(spark, docs), scratch, min_words=50).collect()}
+    # 120 copies of seven words are 840 words, three of five are 15.
+    for n, text in docs:
+        lines = text.split("\n")
+        kept = lines[:4] if n == 0 else [x for x in lines if x != footer]
+        assert found[n]["text"] == "\n".join(kept), n
+    none = line_dedup.dedup_lines(frame(spark, docs), scratch, min_words=50, short_mass=841)
+    assert none.agg({"n_removed": "sum"}).first()[0] == 0
+
+
+def test_long_texts_lose_lines_in_linear_time(spark, scratch):
+    import time
+
+    line = "a line that is long enough to count as frequent in a text"
+    text = "\n".join(x for n in range(50_000) for x in (f"line {n}", line))
+    started = time.perf_counter()
+    [row] = line_dedup.dedup_lines(frame(spark, [(1, text)]), scratch).collect()
+    assert (row["n_lines"], row["n_removed"]) == (100_000, 49_999)
+    assert row["text"] == "\n".join(["line 0", line, *(f"line {n}" for n in range(1, 50_000))])
+    assert time.perf_counter() - started < 90
+
+
 def test_line_dedup_edges(spark, scratch):
     long = "\n".join(f"line {i} of the long text" for i in range(300))
     data = [(1, long, 5, 9), (2, long, None, 8), (2, long, None, 8), (3, None, 1, 7), (4, "", 1, 6)]

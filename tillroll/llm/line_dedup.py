@@ -19,6 +19,9 @@ from tillroll.scratch import Scratch
 
 # A run counts as repeated from this many words on, as one long line or many short ones.
 MIN_WORDS = 50
+# A shorter line counts as repeated if it is no shorter than this, and all its copies together
+# have so many words: the fewer words it has, the more copies it takes.
+SHORT_WORDS, SHORT_MASS = 5, 500
 
 _NAME = ["a", "b"]
 
@@ -39,9 +42,9 @@ def _lines(docs: DataFrame, doc_id: str) -> DataFrame:
             word_count(x).cast("int").alias("w"),
         ),
     )
-    exploded = docs.filter("text is not null").select(
-        F.col(doc_id).alias("id"), _doc_key(doc_id).alias("doc"), F.posexplode(lines).alias("pos", "line")
-    )
+    # The key is made below the explosion: above it, it would be made again for every line.
+    keyed = docs.filter("text is not null").select(F.col(doc_id).alias("id"), _doc_key(doc_id).alias("doc"), lines.alias("lines"))
+    exploded = keyed.select("id", "doc", F.posexplode("lines").alias("pos", "line"))
     return exploded.select("id", "doc", "pos", "line.a", "line.b", "line.w")
 
 
@@ -94,16 +97,39 @@ def _needed_runs(lines: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("doc"), F.col("pos"))
+
+
+def _frequent_lines(suffixes: DataFrame, min_words: int, short_words: int, short_mass: int) -> DataFrame:
+    """(doc, pos, m) of later copies of short lines that occur often, counted by their names."""
+    short = suffixes.filter((F.col("w") >= short_words) & (F.col("w") < min_words))
+    names = short.groupBy(*_NAME, "w").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
+    often = names.filter(F.col("n") * F.col("w") >= short_mass).select(*_NAME, "first")
+    later = short.withColumn("place", _place()).join(often, _NAME).filter("place > first")
+    return later.select("doc", "pos", F.lit(1).alias("m"))
+
+
+def repeated_runs(
+    docs: DataFrame,
+    scratch: Scratch,
+    doc_id: str = "doc_id",
+    min_words: int = MIN_WORDS,
+    short_words: int = SHORT_WORDS,
+    short_mass: int = SHORT_MASS,
+) -> DataFrame:
     """(doc, pos, m): runs of ``m`` lines from line ``pos`` that stand in an earlier place too.
 
     Places are ordered by ``doc_id`` (nulls last), then text hash, then line. Every line of every
-    later copy of a run with ``min_words`` words or more is in one of these runs, and no other.
+    later copy of a run with ``min_words`` words or more is in one of these runs; so is every later
+    copy of a shorter line of ``short_words`` or more whose copies have ``short_mass`` words in
+    all; and no other.
     """
     lines = scratch.cut(_lines(docs, doc_id), "lines")
     # Repeated rows are one document.
     suffixes = scratch.cut(_repeated(lines).dropDuplicates(["doc", "pos"]), "suffixes")
     needed = scratch.cut(_needed_runs(suffixes, min_words), "needed")
+    short = _frequent_lines(suffixes, min_words, short_words, short_mass)
     longest = needed.agg(F.max("m")).first()[0] or 0
     suffixes = suffixes.select("doc", "pos", *_NAME)
     named = []
@@ -129,37 +155,51 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", min
             suffixes = scratch.cut(_repeated(doubled), f"doubled-{2 * size}")
         size *= 2
     if not named:
-        return needed.select("doc", "pos", "m")
+        return short
     runs = named[0]
     for more in named[1:]:
         runs = runs.unionByName(more)
     runs = scratch.cut(runs, "runs")
     name = ["ends", "m", "a1", "b1", "a2", "b2"]
-    place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("doc"), F.col("pos"))
+    place = _place()
     first = runs.groupBy(*name).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     later = runs.withColumn("place", place).join(first, name).filter("place > first")
-    return later.select("doc", "pos", "m").distinct()
+    return later.select("doc", "pos", "m").unionByName(short).distinct()
 
 
-def dedup_lines(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    scratch: Scratch,
+    doc_id: str = "doc_id",
+    min_words: int = MIN_WORDS,
+    short_words: int = SHORT_WORDS,
+    short_mass: int = SHORT_MASS,
+) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``, and with n_lines
     and n_removed, replacing columns of these names.
 
     A run is consecutive whole lines (between newlines) with ``min_words`` words (between ASCII
-    blanks) or more in sum; the first copy by ``doc_id``, nulls last, stays. Copies inside one
+    blanks) or more in sum; or one shorter line of ``short_words`` or more, if all its copies have
+    ``short_mass`` words together. The first copy by ``doc_id``, nulls last, stays. Copies inside one
     document count, also overlapping ones. Rows equal in id and text are one document and lose
     the same lines. A null text stays null with no lines; an empty one has one empty line. All
-    rows stay, even with nothing left of their text.
+    rows stay, even with nothing left of their text. A text takes time by its number of lines.
     """
-    runs = repeated_runs(docs, scratch, doc_id, min_words)
+    runs = repeated_runs(docs, scratch, doc_id, min_words, short_words, short_mass)
     places = runs.select("doc", F.explode(F.sequence("pos", F.col("pos") + F.col("m") - 1)).alias("pos"))
     gone = places.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("_gone"))
     gone = gone.withColumnRenamed("doc", "_doc")
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = docs.select(*others, _doc_key(doc_id).alias("_doc")).join(gone, "_doc", "left")
     lines = F.split(F.col("text"), "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+
+    def without(known: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(known) - 1), F.col("_gone"))
+        return F.array_join(F.transform(places, lambda i: F.get(known, i)), "\n")
+
+    # As the one element of an array, so that a text is split once.
+    rest = F.element_at(F.transform(F.array(lines), without), 1)
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
     return rows.select(
         *(text.alias("text") if c == "text" else c for c in others),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
@@ -197,8 +237,15 @@ WITH split AS (
   FROM runs r JOIN split USING (doc_id)
 ), later AS (
   SELECT *, row_number() OVER (PARTITION BY ends, content ORDER BY doc_id, lo) AS nth FROM named
+), short AS (
+  SELECT doc_id, pos, w * count(*) OVER (PARTITION BY line) AS mass,
+         row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth
+  FROM (SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM numbered)
+  WHERE w >= 5 AND w < 50
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM later WHERE nth > 1
+  UNION
+  SELECT doc_id, pos FROM short WHERE nth > 1 AND mass >= 500
 )
 SELECT n.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
