@@ -133,7 +133,7 @@ LINE_WORDS, RUN_WORDS = 30, 4
 # Sizes of windows, in lines or their pieces; files up to so many words are also compared as a whole.
 WINDOWS, WHOLE_WORDS = (1, 2, 3, 4, 6, 12), 600
 # Terms are counted in so many buckets, whatever the number of files.
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 LOT_UNITS = 1 << 13
 
 _TERM = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
