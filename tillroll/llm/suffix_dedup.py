@@ -317,9 +317,11 @@ def _with_runs(frame: pd.DataFrame, found: list[list[tuple[int, int]]]) -> pd.Da
 
 
 def _window_hashes(context: bytes, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every window of a context, by falling offset."""
-    data, starts = np.frombuffer(context, np.uint8), np.arange(hi - lo + 1)
-    return _Hashes(data, 1).of(starts, LENGTH), _Hashes(data, 2).of(starts, LENGTH)
+    """A digest of 128 bits of every window of a context, by falling offset, as two halves. No text
+    is known for which two of them agree, as there is for polynomials modulo a power of two."""
+    digests = b"".join(hashlib.blake2b(context[i : i + LENGTH], digest_size=16).digest() for i in range(hi - lo + 1))
+    halves = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def _equal_windows(group: pd.DataFrame) -> list[list[tuple[int, int]]]:
