@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from tests.conftest import at, rows
 from tests.test_batch import SHEET
@@ -86,6 +87,24 @@ def test_ten_thousand_events_end_up_in_one_file(spark, scratch):
     assert log.events().filter("batch_id = 'next'").first()["seq"] == 10_000
 
 
+def test_no_task_sorts_or_compares_a_whole_log(spark, scratch, monkeypatch):
+    log = audit.AuditLog(spark, scratch.new_path("log"))
+    events = spark.createDataFrame([event(n) for n in range(2_000)], schemas.LOAD_EVENTS.schema)
+    events.repartition(20).write.parquet(log.path)
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def seen(self, path, *more, **options):
+        plans.append((path, self._df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, path, *more, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    assert log.compact() == 20
+    one_task = [plan for path, plan in plans if path == log.path]
+    assert len(one_task) == 1 and "Sort" not in one_task[0] and "Aggregate" not in one_task[0]
+    assert rows(log.events()) == rows(events)
+
+
 def test_events_in_two_files_count_once(spark, scratch):
     log = audit.AuditLog(spark, scratch.new_path("log"))
     events = spark.createDataFrame([event(n) for n in range(6)], schemas.LOAD_EVENTS.schema)
