@@ -3,12 +3,14 @@
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_batch import SHEET
 from tillroll import operators, schemas
 from tillroll.operators import fingerprint_checks, read_fingerprint
+from tillroll.operators.cleanse import CONCURRENT_WRITERS
 from tillroll.plans.runner import run_pipeline
 from tillroll.sources import audit
 from tillroll.sources.warehouse import Warehouse
@@ -116,3 +118,24 @@ def test_each_business_table_has_its_own_end(spark, sheet, tmp_path):
     log = rows(audit.audit_latest(Warehouse(spark, str(tmp_path)).log.events().filter("layer = 'business'")).select("started_at", "finished_at"))
     assert len({end for _, end in log}) == 4
     assert all(end <= start for (_, end), (start, _) in zip(log, log[1:], strict=False))
+
+
+def test_rows_are_not_sorted_to_be_split(spark, scratch, monkeypatch):
+    seen = []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(
+        DataFrameWriter, "parquet", lambda self, path, *a, **o: (seen.append(spark.conf.get(CONCURRENT_WRITERS)), write(self, path, *a, **o))
+    )
+    before = spark.conf.get(CONCURRENT_WRITERS)
+    cells = spark.createDataFrame(
+        [("2010-02-30", "1.5"), ("2012-02-29 23:59", "1e2"), ("2010-12-01 24:00", "1,5"), ("2010-00-01", "E"), ("2010-12-32", "-.5")], "d string, p string"
+    )
+    taken, refused = operators.split_casts(cells, {"d": "timestamp_ntz", "p": "decimal(10,2)"}, scratch)
+    assert seen == ["2"] and spark.conf.get(CONCURRENT_WRITERS) == before
+    assert [(str(r.d), str(r.p)) for r in taken.collect()] == [("2012-02-29 23:59:00", "100.00")]
+    date = "no such date or time"
+    assert {r.d: [tuple(x) for x in r.faults] for r in refused.collect()} == {
+        "2010-02-30": [("d", "2010-02-30", date)], "2010-12-32": [("d", "2010-12-32", date)],
+        "2010-12-01 24:00": [("d", "2010-12-01 24:00", date), ("p", "1,5", "no number")],
+        "2010-00-01": [("d", "2010-00-01", date), ("p", "E", "no number")],
+    }
