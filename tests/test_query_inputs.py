@@ -34,3 +34,12 @@ def test_the_bad_line_costs_no_second_sheet(spark, sources):
     assert [r.asDict() for r in bad] == [
         {c: None for c in first.columns} | {"InvoiceNo": "0", "StockCode": "X", "CustomerID": "1", "InvoiceDate": "1900-01-01 00:00:00"}
     ]
+
+
+def test_a_sheet_is_dealt_anew_to_as_many_tasks_as_the_session_asks(spark, sources):
+    with pytest.raises(ConstraintError):
+        queries.rerun_fingerprint(spark, FOLDER)
+    first, second = sources
+    plan = second._jdf.queryExecution().sparkPlan().toString()
+    assert "hashpartitioning" in plan and "REPARTITION_BY_COL" in plan
+    assert second.exceptAll(first).isEmpty() and first.exceptAll(second).isEmpty()
