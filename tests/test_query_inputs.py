@@ -43,3 +43,12 @@ def test_a_sheet_is_dealt_anew_to_as_many_tasks_as_the_session_asks(spark, sourc
     plan = second._jdf.queryExecution().sparkPlan().toString()
     assert "hashpartitioning" in plan and "REPARTITION_BY_COL" in plan
     assert second.exceptAll(first).isEmpty() and first.exceptAll(second).isEmpty()
+
+
+def test_buckets_hold_only_what_the_fact_takes(spark, monkeypatch):
+    def stop(lines, *_, **__):
+        raise InterruptedError(",".join(lines.columns))
+
+    monkeypatch.setattr(queries, "line_buckets", stop)
+    with pytest.raises(InterruptedError, match="^invoice_no,stock_code,invoice_date,quantity,customer_id,unit_price$"):
+        queries.colocated_star(spark, FOLDER)

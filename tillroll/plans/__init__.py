@@ -10,6 +10,7 @@ from tillroll.plans.dimensions import (
     extend_dim_date,
 )
 from tillroll.plans.fact import (
+    LINE_COLUMNS,
     build_colocated_fact,
     build_fact,
     lookup_customer,
@@ -19,6 +20,7 @@ from tillroll.plans.fact import (
 from tillroll.plans.staging import build_clean, build_raw, build_valid, split_clean
 
 __all__ = [
+    "LINE_COLUMNS",
     "build_clean",
     "build_colocated_fact",
     "build_dim_customer",
