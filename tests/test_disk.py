@@ -2,10 +2,12 @@
 
 import os
 
+import pytest
+
 from checks import queries
 from tests.conftest import rows
 from tillroll import schemas
-from tillroll.scratch import FREE_SHUFFLES
+from tillroll.scratch import FREE_SHUFFLES, SPLIT_BYTES, list_files, write_compact
 from tillroll.sources.warehouse import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -45,6 +47,24 @@ def test_tables_and_intermediate_tables_are_stored_small(spark, scratch, lines):
     assert _codecs(spark, f"{scratch.path}/002-cut") == {"zstd"}
 
 
+@pytest.mark.parametrize("size", ["1m", "1048576b", "1024KB", "1048576"])
+def test_splits_of_compact_files_are_half_as_large(spark, scratch, size):
+    source, out = scratch.new_path("source"), scratch.new_path("out")
+    # Eight files of a fifth of a split: five go into one, and two into half of one.
+    spark.range(0, 36_000, 1, 8).selectExpr("id", "uuid() AS text").write.option("compression", "none").parquet(source)
+    settings = {SPLIT_BYTES: size, "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        write_compact(spark.read.parquet(source), out)
+        assert spark.conf.get(SPLIT_BYTES) == size
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(list_files(spark, out, ".parquet")) == 4
+    assert spark.read.parquet(out).count() == 36_000
+
+
 def test_the_sheet_of_a_rerun_is_stored_before_it_is_dealt_anew(spark, monkeypatch):
     given = []
     monkeypatch.setattr(queries, "run_pipeline", lambda spark, source, root: given.append(source))
